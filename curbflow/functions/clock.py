@@ -51,4 +51,5 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
 
 def second_boundaries(start: Column, end: Column) -> Column:
     """Number of whole-second boundaries crossed: both ends are cut to the second first."""
-    return F.floor(epoch_seconds(end)) - F.floor(epoch_seconds(start))
+    first, last = (F.floor(epoch_seconds(t)).cast("bigint") for t in (start, end))
+    return last - first

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def unpack(column: str, fields: list[str]) -> list[Column]:
-    return [F.col(f"{column}.{f}").alias(f) for f in fields]
-
-
 def as_struct(one_row: DataFrame) -> Column:
     """A one-row frame as a scalar-subquery struct: no join, and Spark checks the row count."""
     return one_row.select(F.struct("*").alias("row")).scalar()
 
 
-def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame to every row."""
-    return df.withColumn("_row", as_struct(one_row)).select(
-        *df.columns, *unpack("_row", one_row.columns)
-    )
+def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
+    """Columns of several one-row frames as one row.
+
+    The frames are stacked and folded by MAX, which skips the NULLs that fill absent columns: each
+    part runs once, in parallel, without joins.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row_frames)
+    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
 def rows_from_columns(one_row: DataFrame, records: list[dict[str, Column]]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from curbflow.config import SEVERITIES
 from curbflow.functions.labels import first_match
 from curbflow.functions.measures import count_where, percent, rows
-from curbflow.operators.shaping import attach_row, rows_from_columns
+from curbflow.operators.shaping import rows_from_columns, side_by_side
 from curbflow.plans.weather import all_present
 
 
@@ -56,7 +56,7 @@ def data_quality_metrics(
     staged_trips: DataFrame, clean: DataFrame, metrics: DataFrame, zones: DataFrame,
     spine: DataFrame, summary: DataFrame, zone_perf: DataFrame, od: DataFrame,
 ) -> DataFrame:
-    """One row. Every source is aggregated once; the one-row results meet as scalar subqueries."""
+    """One row. Every source is aggregated once; the one-row results are folded together."""
     trips = metrics.agg(*(agg.alias(name) for name, agg in _trip_quality().items()))
     hours = summary.agg(
         rows().alias("hourly_rows"),
@@ -79,15 +79,14 @@ def data_quality_metrics(
         F.sum("trips").alias("od_trip_total"),
         count_where(F.col("trips") <= 0).alias("invalid_od_rows"),
     )
-    combined = row_count(staged_trips, "staging_taxi_rows")
-    for part in (
+    combined = side_by_side(
+        row_count(staged_trips, "staging_taxi_rows"),
         row_count(clean, "clean_taxi_rows"),
         row_count(metrics, "trip_metric_rows"),
         row_count(zones, "taxi_zone_rows"),
         row_count(spine, "hourly_spine_rows"),
         trips, hours, zone_part, od_part,
-    ):
-        combined = attach_row(combined, part)
+    )
 
     def kept(whole: str, lost: str) -> Column:
         return percent(F.col(whole) - F.col(lost), F.col(whole))

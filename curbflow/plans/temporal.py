@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbflow.functions.measures import count_where, percent, rows, sum_where_or_zero
 from curbflow.operators.quantiles import Quantile, exact_quantiles
-from curbflow.operators.shaping import as_struct, attach_row
+from curbflow.operators.shaping import as_struct, side_by_side
 
 
 def _trip_totals(metrics: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def _trip_totals(metrics: DataFrame) -> DataFrame:
             Quantile("median_duration_minutes", minutes),
         ],
     )
-    return attach_row(totals, medians)
+    return side_by_side(totals, medians)
 
 
 def peak_hour(summary: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def peak_hour(summary: DataFrame) -> DataFrame:
 
 
 def executive_mobility(metrics: DataFrame, summary: DataFrame) -> DataFrame:
-    """One row of KPIs. One-row parts are combined as scalar subqueries, not joins."""
+    """One row of KPIs. The one-row parts are folded together, not joined."""
     hour_stats = summary.agg(
         F.avg("taxi_trip_count").alias("avg_hourly_trips"),
         F.stddev_samp("taxi_trip_count").alias("hourly_demand_stddev"),
@@ -68,9 +68,7 @@ def executive_mobility(metrics: DataFrame, summary: DataFrame) -> DataFrame:
         F.avg("daily_trips").alias("avg_daily_trips"),
         F.stddev_samp("daily_trips").alias("daily_demand_stddev"),
     )
-    combined = _trip_totals(metrics)
-    for part in (peak_hour(summary), hour_stats, day_stats):
-        combined = attach_row(combined, part)
+    combined = side_by_side(_trip_totals(metrics), peak_hour(summary), hour_stats, day_stats)
     return combined.withColumns(
         {
             "airport_share_pct": percent(F.col("airport_trips"), F.col("total_trips")),
