@@ -506,7 +506,7 @@ VALIDATION_SQL = {
         " union all ".join(
             f"""select '{r}' as relation, '{keys}' as grain, count(*) as total_rows,
                 (select count(*) from (select distinct {keys} from {t})) as distinct_keys,
-                total_rows = distinct_keys as passed from {t}"""
+                count(*) = (select count(*) from (select distinct {keys} from {t})) as passed from {t}"""
             for r, (t, keys) in _GRAINS.items()
         )
     ),
