@@ -15,6 +15,7 @@ from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
 from curbflow.sources import fixtures, manifest, staging
+from curbflow.stats import design, gram, models
 from curbflow.warehouse import LAYERS, Warehouse
 
 # Doubles are rounded once, on the final rows, so that two engines' summation orders agree. The
@@ -413,3 +414,65 @@ def _(w, sf_dir):
         for t in _SOURCE_TABLES
     ]
     return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+# --- linear models --------------------------------------------------------------------------
+
+_REDUCED = "model_4_reduced"
+_INFERENCE = ("p_value", "ci_lower", "ci_upper", "significant_05")
+
+
+def _prediction(name: str, job: Callable[[models.PredictionStudy], DataFrame]) -> None:
+    QUERIES[name] = lambda w, sf_dir: job(models.PredictionStudy(w.statistical_analysis, w.config))
+
+
+def _association(name: str, job: Callable[[models.AssociationStudy], DataFrame]) -> None:
+    QUERIES[name] = lambda w, sf_dir: job(models.AssociationStudy(w.statistical_analysis))
+
+
+def _all_coefficients(study: models.PredictionStudy) -> DataFrame:
+    return reduce(DataFrame.unionByName, (study.coefficients(n) for n in study.specs))
+
+
+def _reduced_design(study: models.PredictionStudy) -> DataFrame:
+    spec = study.specs[_REDUCED]
+    return design.design_matrix(study.hours, spec, known_levels=study.levels).frame
+
+
+def _reduced_gram(study: models.PredictionStudy) -> DataFrame:
+    spec = study.specs[_REDUCED]
+    train = design.design_matrix(study.hours.where("is_train"), spec, known_levels=study.levels)
+    return gram.named_cross_products(train.frame, (*train.terms, "y"))
+
+
+_prediction("chronological_split", lambda s: s.hours.select("pickup_hour", "is_train"))
+_prediction("design_matrix", _reduced_design)
+_prediction("gram_matrix", _reduced_gram)
+_prediction("model_coefficients", lambda s: _all_coefficients(s).drop(*_INFERENCE))
+_prediction("model_inference", _all_coefficients)
+_prediction("model_comparison", lambda s: s.comparison())
+_prediction(
+    "model_test_predictions",
+    lambda s: s.test_errors(_REDUCED).select("pickup_hour", "taxi_trip_count", "prediction", "residual"),
+)
+_prediction("test_error_by_hour", lambda s: s.error_by(_REDUCED, "hour_of_day"))
+_prediction("test_error_by_weekend", lambda s: s.error_by(_REDUCED, "is_weekend"))
+_prediction("worst_predictions", lambda s: s.worst_predictions(_REDUCED))
+_prediction("residual_diagnostics", lambda s: s.residual_diagnostics(_REDUCED))
+_prediction("vif_reduced_model", lambda s: s.vif(_REDUCED))
+_prediction("subway_residual_correlation", lambda s: s.subway_residual_correlation())
+
+_association("association_coefficients", lambda s: s.association_coefficients().drop(*_INFERENCE))
+_association("association_inference", lambda s: s.association_coefficients())
+_association("association_comparison", lambda s: s.association_comparison())
+_association("subway_lag_coefficients", lambda s: s.subway_lag_coefficients().drop(*_INFERENCE))
+_association("demand_lag_comparison", lambda s: s.ladder_comparison())
+_association("demand_lag_coefficients", lambda s: s.ladder_coefficients().drop(*_INFERENCE))
+_association("hac_sensitivity", lambda s: s.hac_sensitivity().drop(*_INFERENCE))
+_association("vif_ambient", lambda s: s.vif())
+_association("diagnostic_coefficients", lambda s: s.diagnostic_coefficients().drop(*_INFERENCE))
+_association("diagnostic_summary", lambda s: s.diagnostic_summary())
+_association("residual_autocorrelation", lambda s: models.autocorrelation(s.diagnostic()[1], "residual"))
+_association("residual_ljung_box", lambda s: models.ljung_box(s.diagnostic()[1], "residual").drop("lb_pvalue"))
+_association("residual_ljung_box_test", lambda s: models.ljung_box(s.diagnostic()[1], "residual"))
+_association("lag_products", lambda s: models.lag_products(s.hours, "taxi_trip_count", 24))

@@ -92,33 +92,31 @@ class Fit:
 def ols_family(design: Design, models: dict[str, tuple[str, ...]]) -> dict[str, Fit]:
     """Several models over the same rows, each using a subset of the design's terms.
 
-    Two passes serve all of them: one cross-product matrix, then every residual sum of squares.
+    One cross-product pass serves all of them: coefficients, residual and total sums of squares
+    follow from the matrix of terms, target and a column of ones.
     """
-    matrix = gram(design.frame, (*design.terms, "y"))
-    blanks = {}
+    frame = design.frame.withColumn("_one", F.lit(1.0))
+    matrix = gram(frame, (*design.terms, "y", "_one"))
+    n, total, raw = int(matrix[-1, -1]), float(matrix[-2, -1]), float(matrix[-2, -2])
+    fits = {}
     for name, terms in models.items():
         at = [design.terms.index(t) for t in terms]
-        inverse, rank = pseudo_inverse(matrix[np.ix_(at, at)])
-        coefficients = inverse @ matrix[at, -1]
-        blanks[name] = Fit(name, terms, coefficients, inverse, inverse, 0, rank, 0.0, 0.0)
-    errors = [F.col("y") - blank.predicted() for blank in blanks.values()]
-    found = design.frame.agg(
-        rows().alias("n"),
-        (F.var_pop("y") * rows()).alias("centred"),
-        F.sum(F.col("y") * F.col("y")).alias("raw"),
-        *(F.sum(e * e).alias(f"ssr_{k}") for k, e in enumerate(errors)),
-    ).first()
-    fits = {}
-    for k, (name, blank) in enumerate(blanks.items()):
-        if found.n <= blank.rank:
-            raise ValueError(f"{name}: {found.n} rows cannot support {blank.rank} terms")
-        ssr = float(found[f"ssr_{k}"])
-        fits[name] = replace(
-            blank,
-            n=found.n,
+        xtx, xty = matrix[np.ix_(at, at)], matrix[at, -2]
+        inverse, rank = pseudo_inverse(xtx)
+        if n <= rank:
+            raise ValueError(f"{name}: {n} rows cannot support {rank} terms")
+        b = inverse @ xty
+        ssr = float(raw - 2.0 * b @ xty + b @ xtx @ b)
+        fits[name] = Fit(
+            name=name,
+            terms=terms,
+            coefficients=b,
+            inverse=inverse,
+            covariance=inverse * (ssr / (n - rank)),
+            n=n,
+            rank=rank,
             ssr=ssr,
-            sst=float(found.centred if CONST in blank.terms else found.raw),
-            covariance=blank.inverse * (ssr / (found.n - blank.rank)),
+            sst=raw - total * total / n if CONST in terms else raw,
         )
     return fits
 
