@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.analysis.findings import in_hours
+from curbflow.config import PAYMENT_LABELS
 from curbflow.functions import clock
 from curbflow.functions.labels import canonical_payment
 from curbflow.functions.measures import (
@@ -36,6 +37,7 @@ def tip_percentiles(metrics: DataFrame) -> DataFrame:
     return exact_quantiles(
         coded, ["code"],
         [Quantile(f"tip_{p}", tip, q) for p, q in {"p50": 0.5, **TAIL}.items()],
+        group_bound=len(PAYMENT_LABELS) + 1,
     ).withColumnRenamed("code", "payment_type")
 
 

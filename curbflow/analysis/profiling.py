@@ -10,7 +10,7 @@ from curbflow.functions import clock
 from curbflow.functions.labels import distance_bucket, first_match
 from curbflow.functions.measures import count_where, mean_where, percent, rows, sum_where
 from curbflow.operators.duplicates import duplicate_row_count
-from curbflow.operators.shaping import rows_from_columns
+from curbflow.operators.shaping import rows_from_columns, side_by_side
 
 DAY_SECONDS = 86_400
 
@@ -340,7 +340,11 @@ def monthly_counts(trips: DataFrame) -> DataFrame:
 
 
 def source_summary(trips: DataFrame) -> DataFrame:
-    """Row count, time ranges, NULL counts, numeric ranges and zone coverage in one pass."""
+    """Row count, time ranges, NULL counts, numeric ranges and zone coverage.
+
+    Zone coverage counts distinct ids over zone pairs; as a distinct count beside the other
+    measures it would multiply every trip row.
+    """
     nulls = {
         "null_pickup": "tpep_pickup_datetime", "null_dropoff": "tpep_dropoff_datetime",
         "null_pickup_zone": "PULocationID", "null_dropoff_zone": "DOLocationID",
@@ -351,7 +355,14 @@ def source_summary(trips: DataFrame) -> DataFrame:
         "distance": "trip_distance", "fare": "fare_amount", "total_amount": "total_amount",
         "passengers": "passenger_count",
     }
-    return trips.agg(
+    pairs = trips.select("PULocationID", "DOLocationID").distinct()
+    coverage = pairs.agg(
+        *_named(
+            distinct_pickup_zones=F.count_distinct("PULocationID"),
+            distinct_dropoff_zones=F.count_distinct("DOLocationID"),
+        )
+    )
+    measures = trips.agg(
         *_named(
             total_rows=rows(),
             min_pickup=F.min(_pickup()), max_pickup=F.max(_pickup()),
@@ -362,8 +373,7 @@ def source_summary(trips: DataFrame) -> DataFrame:
                 for name, c in ranges.items()
                 for how, fn in (("min", F.min), ("max", F.max), ("avg", F.avg))
             },
-            distinct_pickup_zones=F.count_distinct("PULocationID"),
-            distinct_dropoff_zones=F.count_distinct("DOLocationID"),
         )
     )
+    return side_by_side(measures, coverage)
 

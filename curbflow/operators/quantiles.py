@@ -8,6 +8,9 @@ group holding a third of a large table can outgrow an executor. Here each metric
    of buckets is bounded by the function (about 1.5 million over all doubles, a few thousand for
    everyday money or distance values), which bounds the running sum that locates the target ranks;
 3. ranked exactly inside the one or two buckets that hold those ranks.
+
+When Catalyst's own size estimate puts the values under a few megabytes, their maps cannot outgrow a
+task, and the built-in aggregate gives the same answer in one stage.
 """
 
 from __future__ import annotations
@@ -19,6 +22,15 @@ from pyspark.sql import functions as F
 
 # Buckets per e-fold of magnitude: neighbouring buckets differ by about 0.1 percent.
 _RESOLUTION = 1024
+# Each located row is about a hundred bytes, so a broadcast stays in the low megabytes.
+_BROADCAST_ROWS = 20_000
+# Below this estimated size of group keys and values, one task can hold every distinct value.
+_ONE_TASK_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's upper estimate of a plan's output, the figure its broadcast decisions use."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 @dataclass(frozen=True)
@@ -42,12 +54,24 @@ def _bucket(value: Column) -> Column:
     )
 
 
-def exact_quantiles(df: DataFrame, by: list[str], wanted: list[Quantile]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame,
+    by: list[str],
+    wanted: list[Quantile],
+    group_bound: int | None = None,
+    one_task_bytes: int = _ONE_TASK_BYTES,
+) -> DataFrame:
     """One row per group of `by` (or one row in all) with one column per requested quantile.
 
     Interpolates linearly between the two nearest ranks. Groups whose values are all NULL are
-    absent, so callers join the result to their group list from the left.
+    absent, so callers join the result to their group list from the left. `group_bound` is the
+    largest possible number of groups, where the caller can prove one; the located buckets are
+    then broadcast. Without it Spark chooses the join from sizes measured at run time.
     """
+    narrow = df.select(*by, *(q.value.cast("double").alias(q.name) for q in wanted))
+    if estimated_bytes(narrow) <= one_task_bytes:
+        return narrow.groupBy(*by).agg(*(F.percentile(q.name, q.probability).alias(q.name) for q in wanted))
+
     distinct: dict[str, int] = {}
     metric_of = {}
     for q in wanted:
@@ -88,12 +112,17 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: list[Quantile]) -> Dat
     matches = (counted["_b"] == renamed["t_b"]) & (counted["_m"] == renamed["t_m"])
     for k in keys:
         matches = matches & counted[k].eqNullSafe(renamed[f"t{k}"])
+    bound = 1 if not by else group_bound
+    if bound is not None and bound * len(wanted) <= _BROADCAST_ROWS:
+        renamed = F.broadcast(renamed)
     candidates = counted.join(renamed, matches).select(*keys, "_q", "_b", "_v", "_n", "_before", "_lo", "_hi", "_w")
-    inside = (
-        Window.partitionBy(*keys, "_q", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = candidates.withColumn(
-        "_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    # Only values of the located buckets are left, so each group is small: one exchange on the group
+    # key then serves the ranking and both aggregations below.
+    placed = candidates.repartition(*(F.col(k) for k in keys)) if keys else candidates.repartition(1)
+    inside = Window.partitionBy(*keys, "_q").orderBy("_b", "_v").rowsBetween(Window.unboundedPreceding, -1)
+    first_bucket = Window.partitionBy(*keys, "_q")
+    ranked = placed.withColumn(
+        "_start", F.min("_before").over(first_bucket) + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     )
 
     def value_at(rank: str) -> Column:

@@ -122,6 +122,16 @@ def hourly_mobility_summary(mobility: DataFrame) -> DataFrame:
     )
 
 
+def _with_context(per_hour: DataFrame, context: DataFrame) -> DataFrame:
+    facts = per_hour.columns[1:]
+    joined = per_hour.join(context.withColumnRenamed("timestamp_hour", "pickup_hour"), "pickup_hour", "left")
+    return joined.select(
+        "pickup_hour", *CALENDAR, *facts, *WEATHER_TYPES,
+        F.col("total_ridership").alias("subway_ridership"),
+        F.col("total_transfers").alias("subway_transfers"),
+    )
+
+
 def hourly_summary_from_trips(clean: DataFrame, context: DataFrame) -> DataFrame:
     """The same summary without the zone-pair stage: trips collapse to one row per hour in the
     map-side aggregation, and the context joins the (at most period-many) hours afterwards."""
@@ -132,10 +142,12 @@ def hourly_summary_from_trips(clean: DataFrame, context: DataFrame) -> DataFrame
         "taxi_duration_seconds": sum_where(F.col("is_duration_valid"), F.col("duration_seconds")),
         **{name: count_where(F.col(flag)) for name, flag in ISSUE_COUNTS.items()},
     }
-    per_hour = clean.groupBy("pickup_hour").agg(*(agg.alias(name) for name, agg in facts.items()))
-    joined = per_hour.join(context.withColumnRenamed("timestamp_hour", "pickup_hour"), "pickup_hour", "left")
-    return joined.select(
-        "pickup_hour", *CALENDAR, *facts, *WEATHER_TYPES,
-        F.col("total_ridership").alias("subway_ridership"),
-        F.col("total_transfers").alias("subway_transfers"),
+    return _with_context(
+        clean.groupBy("pickup_hour").agg(*(agg.alias(name) for name, agg in facts.items())), context
     )
+
+
+def hourly_summary_from_demand(demand: DataFrame, context: DataFrame) -> DataFrame:
+    """The same summary from the demand facts, when these are already written."""
+    facts = (F.sum(fact).alias(name) for name, fact in ROLLED_UP.items())
+    return _with_context(demand.groupBy("pickup_hour").agg(*facts), context)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbflow.config import DEFAULT, MobilityConfig
+from curbflow.config import DEFAULT, PAYMENT_LABELS, MobilityConfig
 from curbflow.functions.labels import airport_category, canonical_payment, payment_label
 from curbflow.functions.measures import (
     count_where, mean_where, percent, ratio_if_positive, rows, sum_where, sum_where_or_zero,
 )
 from curbflow.operators.quantiles import Quantile, exact_quantiles, with_quantiles
-from curbflow.operators.shaping import as_struct
 
 
 def _valid_money() -> dict:
@@ -110,19 +109,19 @@ def fare_payment_analysis(metrics: DataFrame) -> DataFrame:
             Quantile("median_amount", F.col("total_amount")),
             Quantile("median_tip_percentage", F.col("tip_percentage")),
         ],
+        group_bound=len(PAYMENT_LABELS) + 1,
     )
-    market = grouped.agg(F.sum("trips").alias("trips"), F.sum("total_amount").alias("amount"))
+    # At most one row per canonical code reaches this window.
+    market = Window.partitionBy()
     share = {
-        "trip_share_pct": percent(F.col("trips"), F.col("market.trips")),
-        "amount_share_pct": percent(F.col("total_amount"), F.col("market.amount")),
+        "trip_share_pct": percent(F.col("trips"), F.sum("trips").over(market)),
+        "amount_share_pct": percent(F.col("total_amount"), F.sum("total_amount").over(market)),
         "tipping_rate_pct": percent(F.col("tipped_trips"), F.col("trips")),
         "airport_share_pct": percent(F.col("airport_trips"), F.col("trips")),
     }
     return (
         with_quantiles(grouped, "canonical", medians)
-        .withColumn("market", as_struct(market))
         .withColumns(share)
         .withColumn("payment_type_label", payment_label(F.col("canonical")))
         .withColumnRenamed("canonical", "payment_type")
-        .drop("market")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, inputs: StagedInputs, config: MobilityConfig = DEFAULT):
         self.spark, self.inputs, self.config = spark, inputs, config
         self.zones = inputs.taxi_zones
+        self.written: set[str] = set()
 
     @cached_property
     def trips_clean(self) -> DataFrame:
@@ -71,6 +73,9 @@ class Warehouse:
 
     @cached_property
     def hourly_mobility_summary(self) -> DataFrame:
+        """Rolled up from the demand facts once these are written, else straight from the trips."""
+        if "hourly_taxi_demand" in self.written:
+            return hourly.hourly_summary_from_demand(self.hourly_taxi_demand, self.hourly_context)
         return hourly.hourly_summary_from_trips(self.trips_clean, self.hourly_context)
 
     @cached_property
@@ -128,6 +133,10 @@ class Warehouse:
     def statistical_analysis(self) -> DataFrame:
         return regression_base.statistical_analysis(self.hourly_mobility_summary)
 
+    def with_staged_trips(self, staged_trips: DataFrame) -> "Warehouse":
+        """The same warehouse over an already written staging table of trips."""
+        return Warehouse(self.spark, replace(self.inputs, taxi_trips=staged_trips), self.config)
+
     def build(self, root: str, layers: tuple[str, ...] = tuple(LAYERS)) -> "Warehouse":
         """Full refresh: write the layers in dependency order and return a warehouse reading them.
 
@@ -142,15 +151,17 @@ class Warehouse:
             partition = LAYERS[name]
             (writer.partitionBy(partition) if partition else writer).parquet(path)
             # Column order is fixed by the relation, not by the partition layout on disk.
-            built.__dict__[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+            built._use_table(name, path, df)
         return built
 
+    def _use_table(self, name: str, path: str, like: DataFrame) -> None:
+        self.__dict__[name] = self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
+        self.written.add(name)
+
     @classmethod
     def open(cls, spark: SparkSession, inputs: StagedInputs, root: str, config: MobilityConfig = DEFAULT):
         """A warehouse reading layers written earlier by `build`."""
         opened = cls(spark, inputs, config)
         for name in LAYERS:
-            df = getattr(opened, name)
-            path = os.path.join(root, name)
-            opened.__dict__[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+            opened._use_table(name, os.path.join(root, name), getattr(opened, name))
         return opened
