@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -14,6 +16,7 @@ from curbflow.config import Period
 from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
+from curbflow.session import scratch_dir
 from curbflow.sources import fixtures, manifest, staging
 from curbflow.stats import design, gram, models
 from curbflow.warehouse import LAYERS, Warehouse
@@ -357,19 +360,29 @@ def _(w, sf_dir):
     return validation.expected_row_counts(w, {"taxi": 60_000, "zones": 25, "weather": 2_184, "subway": 2_184})
 
 
+def with_written(w: Warehouse, layers: tuple[str, ...]) -> Warehouse:
+    """Write the aggregated layers several checks share, so that trips are read once per layer."""
+    root = os.path.join(scratch_dir(w.spark), f"layers-{uuid.uuid4().hex}")
+    return w.build(root, layers) if layers else w
+
+
+# Check -> aggregated layers it reads more than once.
+_HOURLY = ("hourly_taxi_demand", "hourly_mobility_summary")
+_ZONES = ("zone_performance", "od_flow")
+_CODES = ("fare_payment_metrics", "airport_metrics")
 _VALIDATIONS = {
-    "validate_layers": validation.layer_reconciliation,
-    "validate_grains": validation.grain_uniqueness,
-    "validate_domains": validation.domain_checks,
-    "validate_spine_coverage": validation.spine_coverage,
-    "validate_zone_mapping": validation.zone_mapping,
-    "validate_suite": validation.quality_suite,
-    "validate_marts": validation.mart_reconciliation,
-    "validate_post_conditions": validation.post_conditions,
-    "validate_duplicate_trips": validation.duplicate_trips,
+    "validate_layers": (validation.layer_reconciliation, _HOURLY),
+    "validate_grains": (validation.grain_uniqueness, _HOURLY + _ZONES + _CODES),
+    "validate_domains": (validation.domain_checks, ()),
+    "validate_spine_coverage": (validation.spine_coverage, ()),
+    "validate_zone_mapping": (validation.zone_mapping, ("od_flow",)),
+    "validate_suite": (validation.quality_suite, (*_HOURLY, "od_flow")),
+    "validate_marts": (validation.mart_reconciliation, _HOURLY + _ZONES),
+    "validate_post_conditions": (validation.post_conditions, _HOURLY + _ZONES),
+    "validate_duplicate_trips": (validation.duplicate_trips, ()),
 }
-for _name, _check in _VALIDATIONS.items():
-    QUERIES[_name] = lambda w, sf_dir, _check=_check: _check(w)
+for _name, (_check, _layers) in _VALIDATIONS.items():
+    QUERIES[_name] = lambda w, sf_dir, _check=_check, _layers=_layers: _check(with_written(w, _layers))
 
 
 @query("validate_duplicate_orders")

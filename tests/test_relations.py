@@ -4,7 +4,7 @@ import pytest
 
 from curbflow.config import DEFAULT
 from curbflow.operators.shaping import side_by_side
-from curbflow.plans import hourly
+from curbflow.plans import hourly, quality
 from curbflow.sources.staging import WEATHER_TYPES
 
 
@@ -126,8 +126,9 @@ def test_opened_warehouse_reads_what_was_built(spark, make_trips, make_warehouse
 
 def test_anomalies_are_ordered_by_severity_then_rows(small_built):
     order = {"Critical": 1, "High": 2, "Medium": 3, "Low": 4}
-    found = [(order[r["severity"]], -r["affected_rows"]) for r in rows(small_built.data_quality_anomalies)]
-    assert len(found) == 16
+    listed = quality.data_quality_anomalies(small_built.trips_clean)
+    found = [(order[r["severity"]], -r["affected_rows"], r["issue_id"]) for r in rows(listed)]
+    assert len(found) == 16 and found == sorted(found)
 
 
 def test_side_by_side_folds_one_row_frames(spark):
