@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions.labels import first_match
-from curbflow.functions.measures import count_where, mean_where, percent, rows
+from curbflow.functions.measures import (
+    count_where, mean_where, percent, round_half_away, round_half_even, rows,
+)
 from curbflow.operators.quantiles import Quantile, exact_quantiles, with_quantiles
 from curbflow.operators.shaping import rows_from_columns
 
@@ -85,9 +87,9 @@ def weekday_weekend(summary: DataFrame) -> DataFrame:
         summary.groupBy("is_weekend")
         .agg(
             rows().alias("hours"),
-            F.round(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
+            round_half_away(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
             F.median("taxi_trip_count").alias("median_taxi_trips"),
-            F.round(F.avg("subway_ridership"), 2).alias("avg_subway_ridership"),
+            round_half_away(F.avg("subway_ridership"), 2).alias("avg_subway_ridership"),
         )
         .orderBy("is_weekend")
         .select(F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),
@@ -109,7 +111,7 @@ def weather_impact(summary: DataFrame) -> DataFrame:
         summary.groupBy(intensity.alias("precipitation_category"))
         .agg(
             rows().alias("hours"),
-            F.round(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
+            round_half_away(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
             F.median("taxi_trip_count").alias("median_taxi_trips"),
         )
         .orderBy(rank)
@@ -157,8 +159,8 @@ def hourly_pattern(summary: DataFrame) -> DataFrame:
         summary.groupBy("hour_of_day")
         .agg(
             rows().alias("observations"),
-            F.bround(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
-            F.bround(F.median("taxi_trip_count"), 2).alias("median_taxi_trips"),
+            round_half_even(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
+            round_half_even(F.median("taxi_trip_count"), 2).alias("median_taxi_trips"),
         )
         .orderBy("hour_of_day")
     )
@@ -186,9 +188,9 @@ def weather_conditions(summary: DataFrame) -> DataFrame:
         summary.groupBy(condition.alias("weather_condition"))
         .agg(
             rows().alias("hours"),
-            F.bround(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
-            F.bround(F.median("taxi_trip_count"), 2).alias("median_taxi_trips"),
-            F.bround(F.avg("precipitation"), 3).alias("avg_precipitation"),
+            round_half_even(F.avg("taxi_trip_count"), 2).alias("avg_taxi_trips"),
+            round_half_even(F.median("taxi_trip_count"), 2).alias("median_taxi_trips"),
+            round_half_even(F.avg("precipitation"), 3).alias("avg_precipitation"),
         )
         .orderBy("weather_condition")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curbflow.config import Period
 from curbflow.functions import clock
 from curbflow.functions.labels import distance_bucket, first_match
-from curbflow.functions.measures import count_where, mean_where, percent, rows, sum_where
+from curbflow.functions.measures import count_where, mean_where, percent, round_half_away, rows, sum_where
 from curbflow.operators.duplicates import duplicate_row_count
 from curbflow.operators.shaping import rows_from_columns, side_by_side
 
@@ -91,7 +91,7 @@ def fare_profile(trips: DataFrame) -> DataFrame:
             negative_total_value=sum_where(total < 0, total),
             zero_total=count_where(total == 0),
             min_fare=F.min(fare), max_fare=F.max(fare), min_total=F.min(total), max_total=F.max(total),
-            negative_total_pct_of_gross=F.round(percent(F.abs(sum_where(total < 0, total)), F.sum(total)), 3),
+            negative_total_pct_of_gross=round_half_away(percent(F.abs(sum_where(total < 0, total)), F.sum(total)), 3),
         )
     )
 
@@ -120,7 +120,7 @@ def category_mix(df: DataFrame, column: str) -> DataFrame:
     """
     counts = df.groupBy(column).agg(rows().alias("trip_count"))
     total = counts.agg(F.sum("trip_count")).scalar()
-    return counts.withColumn("pct_of_trips", F.round(percent(F.col("trip_count"), total), 3)).orderBy(
+    return counts.withColumn("pct_of_trips", round_half_away(percent(F.col("trip_count"), total), 3)).orderBy(
         F.desc("trip_count"), column
     )
 
@@ -210,8 +210,8 @@ def distance_by_unknowns(trips: DataFrame) -> DataFrame:
                 payment_unknown=count_where(code),
                 passenger_unknown=count_where(people),
                 both_unknown=count_where(people & code),
-                avg_distance=F.round(F.avg("trip_distance"), 2),
-                total_amount=F.round(F.sum("total_amount"), 2),
+                avg_distance=round_half_away(F.avg("trip_distance"), 2),
+                total_amount=round_half_away(F.sum("total_amount"), 2),
             )
         )
         .orderBy(rank)
@@ -258,7 +258,7 @@ def anomaly_subset_profile(trips: DataFrame) -> DataFrame:
                 "subset": F.lit(name),
                 "trips": F.col(f"{name}__trips"),
                 **{c: F.col(f"{name}__{c}") for c in conditions},
-                **{c: F.round(F.col(f"{name}__{c}"), 2) for c in money},
+                **{c: round_half_away(F.col(f"{name}__{c}"), 2) for c in money},
             }
             for name in subsets
         ],

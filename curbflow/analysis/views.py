@@ -7,13 +7,28 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.functions.measures import count_where, percent, rows
+from curbflow.functions.measures import count_where, percent, round_half_even, rows
 from curbflow.operators.shaping import as_struct, side_by_side
 
 # Preset windows and the days each one reaches back, the last day included.
 DATE_PRESETS = {"Full period": None, "Past week": 7, "Past month": 30, "Past 3 months": 90}
 
 
+# Mart -> column and direction it is listed by.
+MART_ORDER = {
+    "temporal_demand": ("pickup_hour", True),
+    "geographic_performance": ("activity_rank", True),
+    "fare_payment_analysis": ("total_amount", False),
+    "weather_transit_analysis": ("pickup_hour", True),
+    "statistical_analysis": ("pickup_hour", True),
+}
+
+
+def listed_mart(mart: DataFrame, name: str) -> DataFrame:
+    column, ascending = MART_ORDER[name]
+    return mart.orderBy(column, ascending=ascending)
+
+
 def filter_preset(df: DataFrame, preset: str) -> DataFrame:
     """Rows of the last days of the data; a window longer than the data keeps everything."""
     days = DATE_PRESETS[preset]
@@ -42,7 +57,7 @@ def temporal_filtered_summary(view: DataFrame) -> DataFrame:
     return (
         view.groupBy("hour_of_day")
         .agg(
-            F.bround(F.avg("taxi_trip_count"), 0).alias("avg_trips"),
+            round_half_even(F.avg("taxi_trip_count"), 0).alias("avg_trips"),
             F.sum("taxi_trip_count").alias("total_trips"),
             rows().alias("observations"),
         )

@@ -40,3 +40,19 @@ def percent(part: Column, whole: Column) -> Column:
 def ratio_if_positive(numerator: Column, denominator: Column) -> Column:
     d = denominator.cast("double")
     return F.when(d > 0, numerator.cast("double") / d)
+
+
+def round_half_away(value: Column, digits: int) -> Column:
+    """Round the scaled binary value, ties away from zero.
+
+    Spark's `round` works on the decimal text of a double and so lifts values such as 57.185,
+    whose binary form lies below the tie.
+    """
+    scale = F.lit(10.0**digits)
+    return F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
+
+
+def round_half_even(value: Column, digits: int) -> Column:
+    """Round the scaled binary value, ties to even."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale

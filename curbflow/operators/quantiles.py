@@ -26,10 +26,13 @@ _RESOLUTION = 1024
 _BROADCAST_ROWS = 20_000
 # Below this estimated size of group keys and values, one task can hold every distinct value.
 _ONE_TASK_BYTES = 32 << 20
+_UNKNOWN_BYTES = 1 << 62
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's upper estimate of a plan's output, the figure its broadcast decisions use."""
+    """Catalyst's estimate of a plan's output, the figure its broadcast decisions use."""
+    if not hasattr(df, "_jdf"):
+        return _UNKNOWN_BYTES
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 

@@ -463,6 +463,7 @@ _prediction("design_matrix", _reduced_design)
 _prediction("gram_matrix", _reduced_gram)
 _prediction("model_coefficients", lambda s: _all_coefficients(s).drop(*_INFERENCE))
 _prediction("model_inference", _all_coefficients)
+_prediction("model_fit_summary", lambda s: s.fit_summary().drop("f_p_value"))
 _prediction("model_comparison", lambda s: s.comparison())
 _prediction(
     "model_test_predictions",

@@ -8,8 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the jobs are written for. Shuffle partitions start high and are merged by AQE, so
-# one value serves a laptop and a cluster; skewed join partitions are split at run time.
+# Settings the jobs are written for; skewed join partitions are split at run time.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,13 +17,16 @@ CLUSTER_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
+# On a cluster, shuffles start with many partitions and AQE merges the small ones.
+INITIAL_PARTITIONS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_CONF, **conf}.items():
+    sizing = {} if master and master.startswith("local") else INITIAL_PARTITIONS
+    for key, value in {**CLUSTER_CONF, **sizing, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

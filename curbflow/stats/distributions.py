@@ -53,6 +53,11 @@ def t_two_sided(t: float, df: float) -> float:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
+def f_tail(f: float, df1: float, df2: float) -> float:
+    """P(F > f)."""
+    return math.nan if math.isnan(f) else incomplete_beta(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
+
+
 def t_quantile(probability: float, df: float) -> float:
     """Upper quantile (probability above one half) by bisection on the tail."""
     tail = 2.0 * (1.0 - probability)

@@ -99,6 +99,17 @@ class PredictionStudy:
         )
         return wide.join(fitted, "model").orderBy("model")
 
+    def fit_summary(self) -> DataFrame:
+        found = [
+            (n, f.n, f.rank, f.r_squared, f.adjusted_r_squared, f.f_statistic, f.f_p_value, f.aic, f.bic)
+            for n, f in self.fits.items()
+        ]
+        return self.spark.createDataFrame(
+            found,
+            "model string, observations long, rank int, r_squared double, adjusted_r_squared double, "
+            "f_statistic double, f_p_value double, aic double, bic double",
+        )
+
     def test_errors(self, name: str) -> DataFrame:
         error = F.abs("residual")
         return self.predictions(name).where(~F.col("is_train")).select(

@@ -49,6 +49,16 @@ class Fit:
     def adjusted_r_squared(self) -> float:
         return 1.0 - (1.0 - self.r_squared) * (self.n - 1) / self.df_resid
 
+    @property
+    def f_statistic(self) -> float:
+        """All terms but the constant against none; needs a constant and at least one other term."""
+        explained = (self.sst - self.ssr) / (self.rank - 1) if self.rank > 1 else math.nan
+        return explained / (self.ssr / self.df_resid)
+
+    @property
+    def f_p_value(self) -> float:
+        return dist.f_tail(self.f_statistic, self.rank - 1, self.df_resid)
+
     @property
     def _deviance(self) -> float:
         return self.n * (math.log(2.0 * math.pi) + 1.0 + math.log(self.ssr / self.n))

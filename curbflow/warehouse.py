@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property
 
@@ -12,29 +13,30 @@ from curbflow.config import DEFAULT, MobilityConfig
 from curbflow.plans import geography, hourly, payments, quality, regression_base, temporal, trips, weather
 from curbflow.sources.staging import StagedInputs
 
-# Build order of the materialised relations, and the column large ones are partitioned by.
-LAYERS = {
-    "trips_clean": "pickup_month",
-    "trip_metrics": None,
-    "hourly_taxi_demand": None,
-    "hourly_spine": None,
-    "hourly_context": None,
-    "hourly_mobility": "month_start",
-    "hourly_mobility_summary": None,
-    "zone_performance": None,
-    "od_flow": None,
-    "fare_payment_metrics": None,
-    "airport_metrics": None,
-    "weather_mobility_metrics": None,
-    "data_quality_metrics": None,
-    "data_quality_anomalies": None,
-    "executive_mobility": None,
-    "temporal_demand": None,
-    "geographic_performance": None,
-    "fare_payment_analysis": None,
-    "weather_transit_analysis": None,
-    "statistical_analysis": None,
-}
+# Layers written together; each wave reads only the layers of earlier waves.
+WAVES = (
+    ("trips_clean", "hourly_spine", "hourly_context"),
+    ("trip_metrics", "hourly_taxi_demand"),
+    (
+        "hourly_mobility", "hourly_mobility_summary", "zone_performance", "od_flow", "fare_payment_metrics",
+        "airport_metrics", "data_quality_anomalies", "fare_payment_analysis",
+    ),
+    (
+        "weather_mobility_metrics", "data_quality_metrics", "executive_mobility", "temporal_demand",
+        "geographic_performance", "weather_transit_analysis", "statistical_analysis",
+    ),
+)
+LAYERS = tuple(name for wave in WAVES for name in wave)
+PARTITIONED_BY = {"trips_clean": "pickup_month", "hourly_mobility": "month_start"}
+# Jobs of one wave submitted at a time; the cluster's scheduler shares executors among them.
+CONCURRENT_WRITES = 4
+
+
+def _write_layer(root: str, name: str, df: DataFrame) -> None:
+    writer = df.write.mode("overwrite")
+    if name in PARTITIONED_BY:
+        writer = writer.partitionBy(PARTITIONED_BY[name])
+    writer.parquet(os.path.join(root, name))
 
 
 class Warehouse:
@@ -137,24 +139,23 @@ class Warehouse:
         """The same warehouse over an already written staging table of trips."""
         return Warehouse(self.spark, replace(self.inputs, taxi_trips=staged_trips), self.config)
 
-    def build(self, root: str, layers: tuple[str, ...] = tuple(LAYERS)) -> "Warehouse":
-        """Full refresh: write the layers in dependency order and return a warehouse reading them.
+    def build(self, root: str, layers: tuple[str, ...] = LAYERS) -> "Warehouse":
+        """Full refresh: write the layers wave by wave and return a warehouse reading them.
 
         Later layers read the written parquet, so trips are derived once and a lost executor only
-        repeats work since the previous layer.
+        repeats work since the previous wave.
         """
         built = Warehouse(self.spark, self.inputs, self.config)
-        for name in (n for n in LAYERS if n in layers):
-            path = os.path.join(root, name)
-            df = getattr(built, name)
-            writer = df.write.mode("overwrite")
-            partition = LAYERS[name]
-            (writer.partitionBy(partition) if partition else writer).parquet(path)
-            # Column order is fixed by the relation, not by the partition layout on disk.
-            built._use_table(name, path, df)
+        for wave in WAVES:
+            frames = {name: getattr(built, name) for name in wave if name in layers}
+            with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+                list(pool.map(lambda item: _write_layer(root, *item), frames.items()))
+            for name, df in frames.items():
+                built._use_table(name, os.path.join(root, name), df)
         return built
 
     def _use_table(self, name: str, path: str, like: DataFrame) -> None:
+        # Column order is fixed by the relation, not by the partition layout on disk.
         self.__dict__[name] = self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
         self.written.add(name)
 

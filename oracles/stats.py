@@ -42,7 +42,7 @@ select a.i as i, b.i as j, sum(a.v * b.v) as v from {tag}_long a join {tag}_long
 with recursive s(k, i, j, v) as (
   select 0, i, j, v from {tag}_gram
   union all
-  select k + 1, i, j, case when i = k + 1 and j = k + 1 then -1 / d when i = k + 1 then across / d
+  select k + 1, i, j, case when d < 1e-9 then v when i = k + 1 and j = k + 1 then -1 / d when i = k + 1 then across / d
                            when j = k + 1 then down / d else v - down * across / d end
   from (select k, i, j, v, max(case when i = k + 1 and j = k + 1 then v end) over () as d,
           max(case when i = k + 1 then v end) over (partition by j) as across,
@@ -52,14 +52,15 @@ select i, j, v from s where k = {p}
 """)
     names = ", ".join(f"'{t}'" for t in terms)
     relation(f"{tag}_fit", f"""
-select n, ssr, sst, {p} as p, 1 - ssr / sst as r2, 1 - ssr / sst * (n - 1) / (n - {p}) as adjusted,
-  n * (ln(2 * pi()) + 1 + ln(ssr / n)) + 2 * {p} as aic, n * (ln(2 * pi()) + 1 + ln(ssr / n)) + ln(n) * {p} as bic
-from (select (select v from {tag}_swept where i = {p + 1} and j = {p + 1}) as ssr,
+select n, ssr, sst, p, 1 - ssr / sst as r2, 1 - ssr / sst * (n - 1) / (n - p) as adjusted,
+  n * (ln(2 * pi()) + 1 + ln(ssr / n)) + 2 * p as aic, n * (ln(2 * pi()) + 1 + ln(ssr / n)) + ln(n) * p as bic
+from (select (select count(*) from {tag}_swept where i = j and i <= {p} and v < 0) as p,
+        (select v from {tag}_swept where i = {p + 1} and j = {p + 1}) as ssr,
         (select count(*) from {tag}_long where i = {p + 1}) as n,
         (select var_pop(v) * count(*) from {tag}_long where i = {p + 1}) as sst)
 """)
     relation(f"{tag}_beta", f"""
-select b.i as i, [{names}][b.i] as feature, b.v as coefficient, sqrt(-d.v * ssr / (n - {p})) as std_error
+select b.i as i, [{names}][b.i] as feature, b.v as coefficient, sqrt(-d.v * ssr / (n - p)) as std_error
 from {tag}_swept b join {tag}_swept d on d.i = b.i and d.j = b.i, {tag}_fit where b.j = {p + 1} and b.i <= {p}
 """)
 
@@ -202,6 +203,14 @@ STATS_SQL = {
         ),
         "coefficient std_error statistic",
     ),
+    "model_fit_summary": compose(
+        " union all ".join(
+            f"""select '{n}' as model, n as observations, p::int as rank, r2 as r_squared,
+                  adjusted as adjusted_r_squared, (sst - ssr) / (p - 1) / (ssr / (n - p)) as f_statistic, aic, bic
+                from {tag}_fit""" for n, (tag, _) in MODELS.items()
+        ),
+        "r_squared adjusted_r_squared f_statistic aic bic",
+    ),
     "model_comparison": compose(
         " union all ".join(_metrics(n, tag) for n, (tag, _) in MODELS.items()),
         "train_r2 test_r2 train_mae test_mae train_rmse test_rmse adjusted_r2 aic bic",

@@ -51,6 +51,8 @@ def test_distribution_tails():
     assert abs(dist.chi_square_tail(1.0, 2) - math.exp(-0.5)) < 1e-14
     assert abs(dist.normal_two_sided(1.959963984540054) - 0.05) < 1e-12
     assert dist.t_two_sided(40.0, 1576) < 1e-200
+    assert abs(dist.f_tail(3.325834530, 2, 10) - 0.0782) < 1e-3
+    assert abs(dist.f_tail(4.0, 1, 7) - dist.t_two_sided(2.0, 7)) < 1e-14
 
 
 def test_ols_matches_numpy(base):

@@ -68,6 +68,13 @@ def test_date_presets_clamp_to_the_data(small_built):
     assert days == {"Full period": 91, "Past week": 7, "Past 3 months": 90}
 
 
+def test_listed_marts_follow_their_order(small_built):
+    amounts = [r.total_amount for r in views.listed_mart(small_built.fare_payment_analysis, "fare_payment_analysis").collect()]
+    assert amounts == sorted(amounts, reverse=True)
+    ranks = [r.activity_rank for r in views.listed_mart(small_built.geographic_performance, "geographic_performance").collect()]
+    assert ranks == sorted(ranks)
+
+
 def test_map_values_clip_only_with_enough_zones(spark):
     rows = [(i, i, float(i), 1.0) for i in range(1, 13)]
     geo = spark.createDataFrame(rows, "location_id int, total_zone_activity bigint, total_zone_revenue double, revenue_per_zone_activity double")
