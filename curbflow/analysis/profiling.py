@@ -308,18 +308,19 @@ def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
 def timestamp_steps(series: DataFrame, column: str) -> DataFrame:
     """Histogram of the gaps between consecutive timestamps of a series.
 
-    Distinct timestamps come first; each day is one window partition, and a day's first timestamp
-    takes its predecessor from the per-day maxima, so no task orders the whole series.
+    Distinct timestamps come first; each minute is one window partition, and a minute's first
+    timestamp takes its predecessor from the per-minute maxima, so no task orders the whole series
+    and a crowded day is spread over its minutes.
     """
     ts = F.col("ts")
     points = series.select(F.col(column).alias("ts")).where(ts.isNotNull())
-    repeats = points.groupBy("ts").agg((rows() - 1).alias("repeats"), F.to_date("ts").alias("day"))
-    daily = repeats.groupBy("day").agg(F.max("ts").alias("last_ts"))
-    earlier = Window.orderBy("day")
-    carried = daily.select("day", F.lag("last_ts").over(earlier).alias("previous_day_ts"))
-    in_day = Window.partitionBy("day").orderBy("ts")
-    stepped = repeats.join(carried, "day").withColumn(
-        "previous", F.coalesce(F.lag("ts").over(in_day), F.col("previous_day_ts"))
+    minute = F.floor(clock.epoch_seconds(ts) / 60).cast("bigint")
+    repeats = points.groupBy("ts").agg((rows() - 1).alias("repeats"), minute.alias("minute"))
+    per_minute = repeats.groupBy("minute").agg(F.max("ts").alias("last_ts"))
+    carried = per_minute.select("minute", F.lag("last_ts").over(Window.orderBy("minute")).alias("carried_ts"))
+    inside = Window.partitionBy("minute").orderBy("ts")
+    stepped = repeats.join(carried, "minute").withColumn(
+        "previous", F.coalesce(F.lag("ts").over(inside), F.col("carried_ts"))
     )
     gap = clock.elapsed_seconds(F.col("previous"), ts)
     steps = stepped.select(

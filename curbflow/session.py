@@ -37,7 +37,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a machine-local folder: on a cluster the executors
     would each write to their own disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
