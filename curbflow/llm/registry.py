@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import exact_dedup, quality_rules
+from curbflow.llm import exact_dedup, langid, quality_model, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1,
+    "op3_language_id": langid.op3,
     "op4_quality_rules": quality_rules.op4,
+    "op9_quality_classifier": quality_model.op9,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
