@@ -164,8 +164,13 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         return None
     idf = np.where(frequency[:BUCKETS] > 0, np.log((1 + frequency[BUCKETS]) / (1 + frequency[:BUCKETS])) + 1, 0.0)
     order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col("chosen").cast("string")), "chosen")
+    # A hash threshold leaves about twice the wanted rows of a language, so no task ranks a whole language.
+    ids = known.select(F.col(id_col).alias("chosen"), F.col(lang_col).alias(lang_col))
+    sizes = ids.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_texts"))
+    place = F.pmod(F.xxhash64(F.col("chosen").cast("string"), F.lit("place")), F.lit(1 << 20))
     chosen = (
-        known.select(F.col(id_col).alias("chosen"), lang_col)
+        ids.join(F.broadcast(sizes), lang_col)
+        .filter(place * F.col("_texts") <= F.lit(2.0 * settings.per_language * (1 << 20)))
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= settings.per_language)
         .select("chosen")
