@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +125,7 @@ class Tagger:
         words, known = text.encode("utf-8", "surrogatepass").split(), self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in set(filterfalse(known.__contains__, words)):
             known[w] = potential(self.model, w.decode("utf-8", "surrogatepass"))
         extra = np.fromiter(map(known.__getitem__, words), float, len(words))
         at = np.flatnonzero(extra)
@@ -224,37 +225,29 @@ def fit_field(segments: list[tuple[int, list[list[int]], int]], size: int, s: Se
             steps += [t] * len(own)
             feats += own
             gold[k, t] = int(bool(toxic and own))
-    rows, steps, feats = np.array(rows, int), np.array(steps, int), np.array(feats, int)
+    feats, cells = np.array(feats, int), np.array(rows, int) * SEGMENT + np.array(steps, int)
     inside = np.arange(SEGMENT) < lengths[:, None]
+    both = inside[:, 1:] & inside[:, :-1]
     theta, first, second = np.zeros(size + 4), np.zeros(size + 4), np.zeros(size + 4)
     theta[size] = -2.0
-    both = inside[:, 1:] & inside[:, :-1]
     wanted = np.concatenate([
-        np.bincount(feats, gold[rows, steps], size), [(gold * inside).sum()],
+        np.bincount(feats, gold.ravel()[cells], size), [(gold * inside).sum()],
         [(both & (gold[:, :-1] == a) & (gold[:, 1:] == b)).sum() for a, b in ((0, 1), (1, 0), (1, 1))],
     ])
     for step in range(1, s.steps + 1):
-        trans = np.array([[0.0, theta[size + 1]], [theta[size + 2], theta[size + 3]]])
-        node = np.zeros((count, SEGMENT, 2))
-        np.add.at(node[:, :, 1], (rows, steps), theta[feats])
-        node[:, :, 1] += theta[size]
-        node[~inside] = 0
-        alpha, beta = np.zeros_like(node), np.zeros_like(node)
-        alpha[:, 0] = node[:, 0]
+        move = np.exp([[0.0, theta[size + 1]], [theta[size + 2], theta[size + 3]]])
+        own = np.bincount(cells, theta[feats], count * SEGMENT).reshape(count, SEGMENT) + theta[size]
+        node = np.stack([np.ones_like(own), np.where(inside, np.exp(np.clip(own, -30, 30)), 1.0)], axis=2)
+        alpha, beta = node.copy(), np.ones_like(node)
         for t in range(1, SEGMENT):
-            moved = np.logaddexp(alpha[:, t - 1, :1] + trans[0], alpha[:, t - 1, 1:] + trans[1]) + node[:, t]
-            alpha[:, t] = np.where(inside[:, t, None], moved, alpha[:, t - 1])
+            alpha[:, t] = np.where(inside[:, t, None], alpha[:, t - 1] @ move * node[:, t], alpha[:, t - 1])
         for t in range(SEGMENT - 2, -1, -1):
-            later = node[:, t + 1] + beta[:, t + 1]
-            moved = np.logaddexp(later[:, :1] + trans[:, 0], later[:, 1:] + trans[:, 1])
-            beta[:, t] = np.where(inside[:, t + 1, None], moved, 0)
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p1 = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None]) * inside
-        pairs = []
-        for a, b in ((0, 1), (1, 0), (1, 1)):
-            p = np.exp(alpha[:, :-1, a] + trans[a, b] + node[:, 1:, b] + beta[:, 1:, b] - z[:, None])
-            pairs.append((p * both).sum())
-        expected = np.concatenate([np.bincount(feats, p1[rows, steps], size), [p1.sum()], pairs])
+            beta[:, t] = np.where(inside[:, t + 1, None], (node[:, t + 1] * beta[:, t + 1]) @ move.T, 1.0)
+        z = alpha[:, -1].sum(axis=1)
+        p1 = alpha[:, :, 1] * beta[:, :, 1] / z[:, None] * inside
+        later = node[:, 1:] * beta[:, 1:] / z[:, None, None] * both[:, :, None]
+        pairs = [float((alpha[:, :-1, a] * move[a, b] * later[:, :, b]).sum()) for a, b in ((0, 1), (1, 0), (1, 1))]
+        expected = np.concatenate([np.bincount(feats, p1.ravel()[cells], size), [p1.sum()], pairs])
         gradient = (wanted - expected) / max(count, 1) - s.l2 * theta
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
