@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import bpe, exact_dedup, langid, quality_model, quality_rules, toxicity
+from curbflow.llm import bpe, exact_dedup, langid, mixing, quality_model, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1,
@@ -15,8 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": bpe.op7,
     "op8_toxicity": toxicity.op8,
     "op9_quality_classifier": quality_model.op9,
+    "op10_source_mixing": mixing.op10,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
+    "op10_source_mixing": mixing.OP10_SQL,
 }
