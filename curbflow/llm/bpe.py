@@ -34,8 +34,8 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 ODD_SPACE = re.compile(r" \s|\s |^ | $")
 #: Chunks of a generation that a task remembers, and remembered pairs of neighbours. A full generation becomes the old
 #: one; what is used again moves over from there before it is dropped.
-REMEMBERED = 600_000
-PAIRS = 1_000_000
+REMEMBERED = 350_000
+PAIRS = 300_000
 NEVER = 1 << 60
 
 
@@ -237,56 +237,76 @@ def encoder(path: str) -> Encoder:
 GROUP = 2_000_000
 
 
+def _encoded_groups(batches: Iterator[pa.RecordBatch], path: str, passed: int) -> Iterator[tuple[list[pa.Array], list[np.ndarray]]]:
+    """The first `passed` columns and the token ids of the text column after them, group by group."""
+    texts_to_ids = encoder(path).encode
+    for batch in batches:
+        start, chars, texts = 0, 0, []
+        for k, value in enumerate(batch.column(passed)):
+            texts.append(value.as_py())
+            chars += len(texts[-1])
+            if chars >= GROUP or k + 1 == batch.num_rows:
+                yield [c.slice(start, len(texts)) for c in batch.columns[:passed]], texts_to_ids(texts)
+                start, chars, texts = k + 1, 0, []
+
+
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
+
+
+def _schema(df: DataFrame, added: str) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [added])
+
+
 def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with `ids`, the token ids of every whole text. Null and empty texts have none.
 
     Added tokens of the file that occur in a text become their ids. path: the tokenizer file, readable on every
     executor."""
     kept = docs.select(*keep)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + ["ids array<int>"])
-    passed = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts_to_ids = encoder(path).encode
-        for batch in batches:
-            start, chars, texts = 0, 0, []
-            for k, value in enumerate(batch.column(passed)):
-                texts.append(value.as_py())
-                chars += len(texts[-1])
-                if chars >= GROUP or k + 1 == batch.num_rows:
-                    ids = texts_to_ids(texts)
-                    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(c.slice(start, len(texts)) for c in batch.columns[:passed]), lists], names=[*keep, "ids"]
-                    )
-                    start, chars, texts = k + 1, 0, []
-
-    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, schema)
+        for columns, ids in _encoded_groups(batches, path, len(keep)):
+            yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], names=[*keep, "ids"])
+
+    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, _schema(kept, "ids array<int>"))
+
+
+def text_of_ids(ids: list[int], tokens: list[bytes]) -> str:
+    """The bytes of the tokens as text. Bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
+    try:
+        raw = b"".join(map(tokens.__getitem__, ids))
+    except IndexError:
+        raw = b"".join(tokens[i] for i in ids if i < len(tokens))
+    return raw.decode("utf-8", "replace")
 
 
 def decoded(tokens: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id", "ids")) -> DataFrame:
-    """The columns `keep` with `decoded`, the text of the ids; added tokens stay. Bytes that are no UTF-8 become
-    U+FFFD, unknown ids nothing. Null ids give an empty text."""
+    """The columns `keep` with `decoded`, the text of the ids; added tokens stay. Null ids give an empty text."""
     kept = tokens.select(*keep)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + ["decoded string"])
-    passed = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path).table
-        blank = [b""]
         for batch in batches:
-            texts = []
-            for value in batch.column(passed):
-                ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else []
-                try:
-                    raw = b"".join(map(known.__getitem__, ids))
-                except IndexError:
-                    raw = b"".join((known[i : i + 1] or blank)[0] for i in ids)
-                texts.append(raw.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:passed], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+            texts = [text_of_ids(value.as_py() or [], known) for value in batch.column(len(keep))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+
+    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, _schema(kept, "decoded string"))
+
+
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep` with `ids` and `decoded`, as `encoded` and `decoded` give them, with one Python worker for
+    both in each task."""
+    kept = docs.select(*keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(path).table
+        for columns, ids in _encoded_groups(batches, path, len(keep)):
+            texts = pa.array([text_of_ids(i.tolist(), known) for i in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, _lists(ids), texts], names=[*keep, "ids", "decoded"])
 
-    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, schema)
+    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, _schema(kept, "ids array<int>, decoded string"))
 
 
 def default_path() -> str:
@@ -298,7 +318,7 @@ def default_path() -> str:
 def op7(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or default_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decoded(encoded(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
