@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import bpe, exact_dedup, langid, mixing, near_dedup, quality_model, quality_rules, toxicity
+from curbflow.llm import bpe, exact_dedup, langid, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1,
     "op3_language_id": langid.op3,
     "op4_quality_rules": quality_rules.op4,
     "op5_near_dedup": near_dedup.op5,
+    "op6_secret_scan": secrets.op6,
     "op7_bpe": bpe.op7,
     "op8_toxicity": toxicity.op8,
     "op9_quality_classifier": quality_model.op9,
