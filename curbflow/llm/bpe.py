@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import table, text_of
+from curbflow.llm.tables import extended, free_name, table, text_of
 
 #: White space of the word pattern (Unicode's White_Space).
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -255,10 +255,6 @@ def _lists(ids: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
 
 
-def _schema(df: DataFrame, added: str) -> str:
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [added])
-
-
 def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with `ids`, the token ids of every whole text. Null and empty texts have none.
 
@@ -270,7 +266,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
         for columns, ids in _encoded_groups(batches, path, len(keep)):
             yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], names=[*keep, "ids"])
 
-    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, _schema(kept, "ids array<int>"))
+    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, extended(kept, "ids array<int>"))
 
 
 def text_of_ids(ids: list[int], tokens: list[bytes]) -> str:
@@ -292,21 +288,23 @@ def decoded(tokens: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str,
             texts = [text_of_ids(value.as_py() or [], known) for value in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
-    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, _schema(kept, "decoded string"))
+    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, extended(kept, "decoded string"))
 
 
 def round_trip(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with `ids` and `decoded`, as `encoded` and `decoded` give them, with one Python worker for
-    both in each task."""
+    both in each task. If `keep` has columns of these names, the new ones get underscores in front."""
     kept = docs.select(*keep)
+    ids_name, text_name = free_name(kept, "ids"), free_name(kept, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path).table
         for columns, ids in _encoded_groups(batches, path, len(keep)):
             texts = pa.array([text_of_ids(i.tolist(), known) for i in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, _lists(ids), texts], names=[*keep, "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*columns, _lists(ids), texts], names=[*keep, ids_name, text_name])
 
-    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, _schema(kept, "ids array<int>, decoded string"))
+    rows = docs.select(*keep, text_of(text_col).alias("_text"))
+    return rows.mapInArrow(run, extended(kept, f"`{ids_name}` array<int>, `{text_name}` string"))
 
 
 def default_path() -> str:

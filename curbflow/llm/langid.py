@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import fold, table, text_of
+from curbflow.llm.tables import extended, fold, table, text_of
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -158,7 +158,7 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           settings: Settings = Settings()) -> Model | None:
     """A model of the languages that occur in docs; rows without a language teach nothing. None without any."""
-    known = docs.filter(F.col(lang_col).isNotNull())
+    known = docs.select(id_col, text_col, lang_col).filter(F.col(lang_col).isNotNull())
     frequency = document_frequencies(known, text_col)
     if not frequency[BUCKETS]:
         return None
@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     A text that is null or has no letter, and every text without a model, is `und` with score 0.
     """
     kept = docs.select(*keep)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + ["lang_pred string", "score double"])
+    schema = extended(kept, "lang_pred string, score double")
     passed = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

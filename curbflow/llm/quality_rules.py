@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import free_name, table
+from curbflow.llm.tables import extended, free_name, table
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -120,7 +120,7 @@ def ledger(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] | None
     name, raw = ledger_column(docs), free_name(docs, "measured_text")
     kept = docs.select(*columns)
     fields = ", ".join(f"{m}: bigint" for m in MEASURES)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [f"`{name}` struct<{fields}>"])
+    schema = extended(kept, f"`{name}` struct<{fields}>")
     passed = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

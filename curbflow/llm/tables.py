@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from curbflow.session import write_and_read
 
@@ -33,3 +34,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts. A null id falls in no fold."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def extended(kept: DataFrame, added: str) -> StructType:
+    """The schema of kept with more columns, given as DDL."""
+    return StructType([*kept.schema.fields, *StructType.fromDDL(added).fields])

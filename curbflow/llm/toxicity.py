@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import fold, table, text_of, written
+from curbflow.llm.tables import extended, fold, table, text_of, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -311,7 +311,7 @@ def tagged(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[st
     exclusive), in one pass over the whole texts. Null and empty texts have no token and score as such."""
     kept = docs.select(*keep)
     added = "score double, toxic_tokens double, spans array<struct<start: int, end: int>>"
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [added])
+    schema = extended(kept, added)
     passed, pair = len(keep), pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
