@@ -63,7 +63,9 @@ def tempered_targets(cells: DataFrame, settings: Settings) -> dict[str, DataFram
         shares = cells.groupBy(F.col(name).alias("level")).agg(F.sum("n_tokens").cast("double").alias("mass"))
         shares = shares.withColumn("raised", F.when(F.col("mass") > 0, F.pow("mass", F.lit(float(power)))).otherwise(0.0))
         total = shares.agg(F.sum("raised").alias("all_raised"))
-        out[name] = shares.join(F.broadcast(total)).select("level", (F.col("raised") / F.col("all_raised")).alias("goal"))
+        out[name] = shares.join(F.broadcast(total)).select(
+            "level", F.when(F.col("all_raised") > 0, F.col("raised") / F.col("all_raised")).otherwise(0.0).alias("goal")
+        )
     return out
 
 
@@ -149,7 +151,7 @@ def sql(settings: Settings = Settings(), result: str = "", documents: str = "doc
         "raked_0 as materialized (select source, lang, topic, sum(n_tokens)::bigint as n_tokens, sum(n_tokens)::double as raked from docs group by all)"]
     for name, power in settings.tempering:
         parts.append(f"""goals_{name} as materialized (
-        select level, raised / sum(raised) over () as goal from (
+        select level, case when sum(raised) over () > 0 then raised / sum(raised) over () else 0 end as goal from (
             select {name} as level, case when sum(n_tokens) > 0 then pow(sum(n_tokens)::double, {power}) else 0 end as raised
             from raked_0 group by 1))""")
     step = 0
