@@ -7,27 +7,26 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from curbflow.operators.duplicates import duplicate_groups, duplicate_row_count, is_unique
-from curbflow.operators.quantiles import Quantile, exact_quantiles
+from curbflow.operators.quantiles import Quantile, _magnitude, exact_quantiles
 
 PROBABILITIES = (0.0, 0.02, 0.5, 0.9, 0.99, 1.0)
 
 
-def quantile_table(df, by, one_task_bytes):
+def quantile_table(df, by):
     wanted = [Quantile(f"q{int(p * 100)}", F.col("v"), p) for p in PROBABILITIES]
     return {
         r[0] if by else None: [r[f"q{int(p * 100)}"] for p in PROBABILITIES]
-        for r in exact_quantiles(df, by, wanted, one_task_bytes=one_task_bytes).collect()
+        for r in exact_quantiles(df, by, wanted).collect()
     }
 
 
-@pytest.mark.parametrize("one_task_bytes", [0, 1 << 40])
-def test_quantiles_match_numpy_with_a_hot_group_and_hot_value(spark, one_task_bytes):
+def test_quantiles_match_numpy_with_a_hot_group_and_hot_value(spark):
     rng = random.Random(3)
     data = [("hot", round(rng.gauss(20, 15), 2)) for _ in range(3000)]
     data += [("hot", 0.0)] * 1500 + [(None, rng.expovariate(0.1)) for _ in range(500)]
     data += [("one", 7.5), ("wide", 1e300), ("wide", -1e300), ("wide", 1e-300), ("none", None)]
     df = spark.createDataFrame(data, "k string, v double").repartition(7)
-    found = quantile_table(df, ["k"], one_task_bytes)
+    found = quantile_table(df, ["k"])
     for key in ("hot", None, "one", "wide"):
         values = [v for k, v in data if k == key and v is not None]
         assert np.allclose(found[key], np.quantile(values, PROBABILITIES), rtol=1e-12, atol=0), key
@@ -37,7 +36,7 @@ def test_quantiles_match_numpy_with_a_hot_group_and_hot_value(spark, one_task_by
 def test_global_quantiles_of_several_metrics(spark):
     df = spark.range(1, 1002).select((F.col("id") % 100).cast("double").alias("v"), F.col("id").cast("double").alias("w"))
     row = exact_quantiles(
-        df, [], [Quantile("a", F.col("v")), Quantile("b", F.col("w")), Quantile("c", F.col("w"), 0.95)], one_task_bytes=0
+        df, [], [Quantile("a", F.col("v")), Quantile("b", F.col("w")), Quantile("c", F.col("w"), 0.95)]
     ).first()
     ids = np.arange(1, 1002)
     assert (row.a, row.b, row.c) == (np.median(ids % 100), np.median(ids), np.quantile(ids, 0.95))
@@ -47,10 +46,28 @@ def test_global_quantiles_of_several_metrics(spark):
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=40))
 def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = exact_quantiles(df, [], [Quantile("m", F.col("v"))], one_task_bytes=0).first()
+    row = exact_quantiles(df, [], [Quantile("m", F.col("v"))]).first()
     assert np.isclose(row.m, np.median(np.array(values, dtype=float)), rtol=1e-12, atol=1e-30)
 
 
+def test_many_distinct_tiny_values_of_one_group_spread_over_buckets(spark):
+    """200,000 distinct values below 0.0005: no bucket of the first level holds more than a few percent of them."""
+    df = spark.range(200_000).select(((F.col("id") + 1) * 2.4e-9).alias("v"))
+    largest = df.groupBy(_magnitude(F.col("v"))).count().agg(F.max("count"), F.count("*")).first()
+    assert largest[0] < 8_000 and largest[1] > 300
+    assert quantile_table(df, [])[None] == pytest.approx(list(np.quantile((np.arange(200_000) + 1) * 2.4e-9, PROBABILITIES)), rel=1e-12)
+
+
+def test_quantiles_of_neighbouring_and_infinite_doubles(spark):
+    values = [1.0]
+    for _ in range(300):
+        values.append(float(np.nextafter(values[-1], 2)))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert quantile_table(df, [])[None] == list(np.quantile(values, PROBABILITIES))
+    edges = spark.createDataFrame([(float("-inf"),), (5e-324,), (float("inf"),)], "v double")
+    assert exact_quantiles(edges, [], [Quantile("m", F.col("v"))]).first().m == 5e-324
+
+
 def test_duplicates_need_equal_keys_not_equal_hashes(spark):
     data = [(1, None, "a"), (None, 1, "a"), (1, None, "a"), (2, 2, "b"), (2, 2, "b"), (2, 2, "b"), (3, 3, None)]
     df = spark.createDataFrame(data, "x int, y int, z string")
