@@ -44,13 +44,18 @@ def _verdicts(measures: DataFrame, checks: Mapping[str, tuple[Column, Column]])
     )
 
 
-def expected_row_counts(w: Warehouse, expected: Mapping[str, int]) -> DataFrame:
+def expected_row_counts(w: Warehouse, expected: Mapping[str, int | DataFrame]) -> DataFrame:
+    """Rows of each staged source against a number, or against the rows of a source it must agree with."""
     sources = {
         "taxi": w.inputs.taxi_trips, "zones": w.inputs.taxi_zones,
         "weather": w.inputs.weather_hourly, "subway": w.inputs.subway_hourly,
     }
-    counts = side_by_side(*(_count(sources[name], name) for name in expected))
-    return _verdicts(counts, {n: (F.lit(v), F.col(n)) for n, v in expected.items()})
+    independent = {n: v for n, v in expected.items() if isinstance(v, DataFrame)}
+    counts = side_by_side(
+        *(_count(sources[n], n) for n in expected), *(_count(v, f"expected_{n}") for n, v in independent.items())
+    )
+    wanted = {n: F.col(f"expected_{n}") if n in independent else F.lit(v) for n, v in expected.items()}
+    return _verdicts(counts, {n: (wanted[n], F.col(n)) for n in expected})
 
 
 def layer_reconciliation(w: Warehouse) -> DataFrame:

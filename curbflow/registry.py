@@ -330,6 +330,11 @@ def _(w, sf_dir):
     return profiling.period_counts(dated, Period(datetime(1994, 1, 1), datetime(1995, 1, 1)))
 
 
+@query("profile_trip_period_counts")
+def _(w, sf_dir):
+    return profiling.period_counts(w.inputs.taxi_trips, Period(datetime(2024, 4, 15), datetime(2024, 6, 1)))
+
+
 @query("profile_payment_mix")
 def _(w, sf_dir):
     return profiling.category_mix(w.inputs.taxi_trips, "payment_type")
@@ -347,14 +352,12 @@ def _(w, sf_dir):
 
 @query("profile_columns_subway")
 def _(w, sf_dir):
-    return profiling.column_profile(w.inputs.subway_hourly.select("total_ridership", "total_transfers"))
+    return profiling.column_profile(w.inputs.subway_hourly)
 
 
 @query("profile_columns_trips")
 def _(w, sf_dir):
-    return profiling.column_profile(
-        w.inputs.taxi_trips.select("passenger_count", "RatecodeID", "store_and_fwd_flag", "PULocationID", "payment_type")
-    )
+    return profiling.column_profile(w.inputs.taxi_trips)
 
 
 @query("profile_ridership_summary")
@@ -375,8 +378,7 @@ def _(w, sf_dir):
 @query("profile_event_steps")
 def _(w, sf_dir):
     events = w.spark.read.parquet(f"{sf_dir}/events.parquet")
-    hours = events.select(clock.floor_hour(F.col("ts").cast("timestamp_ntz")).alias("hour"))
-    return profiling.timestamp_steps(hours, "hour")
+    return profiling.timestamp_steps(events.select(F.col("ts").cast("timestamp_ntz").alias("ts")), "ts")
 
 
 @query("profile_subway_steps")
@@ -389,7 +391,11 @@ def _(w, sf_dir):
 
 @query("validate_expected_rows")
 def _(w, sf_dir):
-    return validation.expected_row_counts(w, {"taxi": 60_000, "zones": 25, "weather": 2_184, "subway": 2_184})
+    read = lambda name: w.spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    ridden = read("orders").where("o_orderkey % 10 <> 0").select(F.expr("o_orderkey % 2184")).distinct()
+    return validation.expected_row_counts(
+        w, {"taxi": read("lineitem"), "zones": read("nation"), "weather": w.config.period.hours, "subway": ridden}
+    )
 
 
 _VALIDATIONS = {
@@ -433,7 +439,10 @@ def _(w, sf_dir):
 
 # --- source files ---------------------------------------------------------------------------
 
-_SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
+_SOURCE_TABLES = [
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+    "orders", "pages", "part", "region", "supplier",
+]
 
 
 @query("source_manifest")

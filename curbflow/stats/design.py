@@ -11,8 +11,8 @@ from curbflow.functions.measures import rows
 from curbflow.plans.regression_base import in_time_order
 
 CONST = "const"
-# A categorical term is a calendar part; more levels than this means a wrong column.
-MAX_LEVELS = 1_000
+# Categorical terms are calendar parts with these levels.
+LEVELS = {"hour_of_day": range(24), "day_of_week": range(7), "regression_month": range(1, 13)}
 
 
 @dataclass(frozen=True)
@@ -40,14 +40,14 @@ class Design:
 
 
 def all_levels(df: DataFrame, columns: tuple[str, ...]) -> dict[str, list[int]]:
-    """Levels of every categorical column, from one pass."""
+    """Levels of every categorical column that occur, among those its calendar part can have (LEVELS)."""
     if not columns:
         return {}
-    sets = df.agg(*(F.sort_array(F.collect_set(F.col(c).cast("int"))).alias(c) for c in columns)).first()
-    for c in columns:
-        if len(sets[c]) > MAX_LEVELS:
-            raise ValueError(f"{c} has too many levels for a categorical term")
-    return {c: list(sets[c]) for c in columns}
+    unknown = [c for c in columns if c not in LEVELS]
+    if unknown:
+        raise ValueError(f"no levels are declared for {unknown}")
+    present = df.agg(*(F.bool_or(F.col(c) == v).alias(f"{c}_{v}") for c in columns for v in LEVELS[c])).first()
+    return {c: [v for v in LEVELS[c] if present[f"{c}_{v}"]] for c in columns}
 
 
 def term_names(spec: Spec, known_levels: dict[str, list[int]]) -> tuple[str, ...]:

@@ -3,10 +3,25 @@
 from __future__ import annotations
 
 from oracles.base import compose
-from oracles.relations import DATA_QUALITY
+from oracles.relations import DATA_QUALITY, TEMPORAL, WEATHER_METRICS
 
 _WINDOWS = "(values ('14:00-18:00', 14, 18), ('15:00-19:00', 15, 19), ('16:00-20:00', 16, 20)) as w(window_name, start_hour, end_hour)"
 
+GIVEN_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+    "orders", "pages", "part", "region", "supplier",
+)
+
+# Columns and types of the staged trips and the hourly ridership.
+TRIP_TYPES = {
+    "VendorID": "int", "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "bigint", "trip_distance": "double", "RatecodeID": "bigint", "store_and_fwd_flag": "string",
+    "PULocationID": "int", "DOLocationID": "int", "payment_type": "bigint", "fare_amount": "double", "extra": "double",
+    "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double", "improvement_surcharge": "double",
+    "total_amount": "double", "congestion_surcharge": "double", "Airport_fee": "double",
+}
+SUBWAY_TYPES = {"timestamp_hour": "timestamp_ntz", "total_ridership": "bigint", "total_transfers": "bigint"}
+
 ANALYSIS_SQL = {
     "recommendation_sensitivity": compose(
         f"""select window_name, start_hour, end_hour, count(*) filter (inside) as window_hours,
@@ -264,7 +279,7 @@ def _mix(table: str, column: str) -> str:
 
 
 def _column(table: str, name: str, kind: str) -> str:
-    numeric = kind != "string"
+    numeric = kind in ("int", "bigint", "double")
     zero = f"count(*) filter ({name} = 0)" if numeric else "null::bigint"
     mean = f"avg({name}::double)" if numeric else "null::double"
     return f"""select '{name}' as column_name, '{kind}' as data_type, count(*) as row_count,
@@ -295,6 +310,12 @@ PROFILE_SQL = {
         """select count(*) as total_source_rows, count(*) filter (year(o_orderdate) = 1994) as in_scope_rows,
              count(*) filter (year(o_orderdate) <> 1994) as out_of_scope_rows from orders"""
     ),
+    "profile_trip_period_counts": compose(
+        """select count(*) as total_source_rows,
+             count(*) filter (tpep_pickup_datetime between '2024-04-15' and '2024-05-31 23:59:59.999999') as in_scope_rows,
+             count(*) filter (tpep_pickup_datetime not between '2024-04-15' and '2024-05-31 23:59:59.999999') as out_of_scope_rows
+           from m_trips"""
+    ),
     "profile_temporal_validity": compose(
         f"""select count(*) as total_rows, count(*) filter ({_NEG}) as negative_duration_rows,
               count(*) filter ({_ZERO}) as zero_duration_rows, count(*) filter ({_LONG}) as duration_over_24h,
@@ -342,8 +363,8 @@ PROFILE_SQL = {
     "profile_service_zones": _mix("m_zones", "service_zone"),
     "profile_zone_validity": compose(
         """select count(*) as total_rows,
-             count(*) filter (PULocationID not in (select location_id from m_zones)) as invalid_pickup_zone,
-             count(*) filter (DOLocationID not in (select location_id from m_zones)) as invalid_dropoff_zone
+             count(*) filter (not coalesce(PULocationID in (select location_id from m_zones), false)) as invalid_pickup_zone,
+             count(*) filter (not coalesce(DOLocationID in (select location_id from m_zones), false)) as invalid_dropoff_zone
            from m_trips"""
     ),
     "profile_unknown_overlap": compose(
@@ -413,16 +434,13 @@ PROFILE_SQL = {
         "avg_total_amount avg_passengers",
     ),
     "profile_columns_subway": compose(
-        f"{_column('m_subway', 'total_ridership', 'bigint')} union all {_column('m_subway', 'total_transfers', 'bigint')}",
+        " union all ".join(_column("m_subway", n, k) for n, k in SUBWAY_TYPES.items()),
         "mean_value",
     ),
     "profile_columns_trips": compose(
         " union all ".join(
             _column("m_trips", n, k)
-            for n, k in {
-                "passenger_count": "bigint", "RatecodeID": "bigint", "store_and_fwd_flag": "string",
-                "PULocationID": "int", "payment_type": "bigint",
-            }.items()
+            for n, k in TRIP_TYPES.items()
         ),
         "mean_value",
     ),
@@ -437,12 +455,12 @@ PROFILE_SQL = {
     "profile_zone_duplicate_ids": compose(
         "select count(*) as row_count, count(*) - count(distinct location_id) as duplicate_keys from m_zones"
     ),
-    "profile_event_steps": _steps("select date_trunc('hour', ts::timestamp) as t from events"),
+    "profile_event_steps": _steps("select ts::timestamp as t from events"),
     "profile_subway_steps": _steps("select timestamp_hour as t from m_subway"),
     "source_rows_per_table": compose(
         " union all ".join(
             f"select '{t}' as table_name, count(*) as row_count from {t}"
-            for t in ("lineitem", "orders", "customer", "supplier", "nation", "region")
+            for t in GIVEN_TABLES
         )
     ),
 }
@@ -470,8 +488,8 @@ _GRAINS = {
     "od_flow": ("m_od", "pickup_location_id, dropoff_location_id"),
     "fare_payment_metrics": ("m_payment_codes", "payment_type, payment_type_label"),
     "airport_metrics": ("m_airport_categories", "airport_category"),
-    "weather_mobility_metrics": ("m_summary", "pickup_hour"),
-    "temporal_demand": ("m_summary", "pickup_hour"),
+    "weather_mobility_metrics": (f"({WEATHER_METRICS})", "pickup_hour"),
+    "temporal_demand": (f"({TEMPORAL})", "pickup_hour"),
     "geographic_performance": ("m_geo", "location_id"),
     "fare_payment_analysis": ("m_pay_mart", "payment_type"),
     "weather_transit_analysis": ("m_weather_transit", "pickup_hour"),
@@ -484,8 +502,9 @@ _STATUS = f"select warehouse_quality_status from ({DATA_QUALITY})"
 VALIDATION_SQL = {
     "validate_expected_rows": _verdict(
         {
-            "taxi": ("60000", _n("m_trips")), "zones": ("25", _n("m_zones")),
-            "weather": ("2184", _n("m_weather")), "subway": ("2184", _n("m_subway")),
+            "taxi": (_n("lineitem"), _n("m_trips")), "zones": (_n("nation"), _n("m_zones")),
+            "weather": ("2184", _n("m_weather")),
+            "subway": ("select count(distinct o_orderkey % 2184) from orders where o_orderkey % 10 <> 0", _n("m_subway")),
         }
     ),
     "validate_layers": _verdict(
@@ -497,7 +516,7 @@ VALIDATION_SQL = {
                 "mobility": "select sum(trip_count) from m_mobility",
                 "summary": "select sum(taxi_trip_count) from m_summary",
                 "od": "select sum(trips) from m_od",
-                "airport_categories": _n("m_metrics"),
+                "airport_categories": "select sum(n) from m_airport_categories",
                 "payment_codes": "select sum(n) from m_payment_codes",
             }.items()
         }
@@ -538,7 +557,7 @@ VALIDATION_SQL = {
         {
             f"unmapped_{side}_trips": (
                 "0",
-                f"select coalesce(sum(trips), 0) from m_od where {side}_location_id not in (select location_id from m_zones)",
+                f"select coalesce(sum(trips), 0) from m_od where not coalesce({side}_location_id in (select location_id from m_zones), false)",
             )
             for side in ("pickup", "dropoff")
         }
@@ -556,9 +575,9 @@ VALIDATION_SQL = {
                      "pickup_location_id, dropoff_location_id, passenger_count, trip_distance, total_amount "
                      "having count(*) > 1)"),
                     ("every pickup zone is known",
-                     "not exists (select 1 from m_metrics where pickup_location_id not in (select location_id from m_zones))"),
+                     "not exists (select 1 from m_metrics where not coalesce(pickup_location_id in (select location_id from m_zones), false))"),
                     ("every dropoff zone is known",
-                     "not exists (select 1 from m_metrics where dropoff_location_id not in (select location_id from m_zones))"),
+                     "not exists (select 1 from m_metrics where not coalesce(dropoff_location_id in (select location_id from m_zones), false))"),
                     ("spine has no gap",
                      "(select bool_and(coalesce(g = interval 1 hour, true)) from (select timestamp_hour - "
                      "lag(timestamp_hour) over (order by timestamp_hour) as g from m_spine))"),
@@ -601,10 +620,10 @@ VALIDATION_SQL = {
                 "select sum(n) from m_airport_categories where airport_category <> 'Non-Airport'",
             ),
             "airport_revenue_not_negative": ("0", _n("m_airport_categories", "revenue < 0")),
-            "weather_metrics_keep_hours": (_n("m_summary"), _n("m_summary")),
-            "weather_metrics_unique_hours": (_n("m_summary"), "select count(distinct pickup_hour) from m_summary"),
-            "weather_rain_flags_complete": ("0", "0"),
-            "quality_metrics_one_row": ("1", "1"),
+            "weather_metrics_keep_hours": (_n("m_summary"), _n(f"({WEATHER_METRICS})")),
+            "weather_metrics_unique_hours": (_n("m_summary"), f"select count(distinct pickup_hour) from ({WEATHER_METRICS})"),
+            "weather_rain_flags_complete": ("0", _n(f"({WEATHER_METRICS})", "is_raining is null and precipitation is not null")),
+            "quality_metrics_one_row": ("1", _n(f"({DATA_QUALITY})")),
             "quality_status_is_pass": ("1", f"select (warehouse_quality_status = 'PASS')::int from ({DATA_QUALITY})"),
         }
     ),

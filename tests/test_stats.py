@@ -137,9 +137,11 @@ def test_split_is_chronological_and_floors(spark):
 
 
 def test_levels_drop_the_first_in_numeric_order(spark):
-    df = spark.createDataFrame([(1, 10, 0.0), (2, 9, 1.0), (3, 10, 2.0)], "pickup_hour int, h int, taxi_trip_count double")
-    assert all_levels(df, ("h",)) == {"h": [9, 10]}
-    assert design_matrix(df, Spec("s", (), ("h",))).terms == ("const", "h_10")
+    df = spark.createDataFrame([(1, 10, 0.0), (2, 9, 1.0), (3, 10, 2.0)], "pickup_hour int, hour_of_day int, taxi_trip_count double")
+    assert all_levels(df, ("hour_of_day",)) == {"hour_of_day": [9, 10]}
+    assert design_matrix(df, Spec("s", (), ("hour_of_day",))).terms == ("const", "hour_of_day_10")
+    with pytest.raises(ValueError, match="declared"):
+        all_levels(df, ("pickup_hour",))
 
 
 def test_metrics_use_the_samples_own_mean(spark):
