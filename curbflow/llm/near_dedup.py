@@ -40,7 +40,7 @@ class Settings:
     percent: int = 80
     coordinates: int = 40
     miss: float = 1e-6
-    block: int = 512
+    block: int = 192
 
     @property
     def least_matches(self) -> int:
