@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions.measures import rows
-from curbflow.session import write_and_read
+from curbflow.session import kept
 
 
 def duplicate_groups(df: DataFrame, keys: list[str], count_name: str = "row_count") -> DataFrame:
@@ -15,12 +15,12 @@ def duplicate_groups(df: DataFrame, keys: list[str], count_name: str = "row_coun
     A 64-bit hash of the key is counted first (16 bytes per row cross the network instead of the
     whole key, and map-side combining absorbs hot keys). Only rows whose hash repeats are grouped
     by the real key, so a hash collision costs time but never changes the answer. The repeated
-    hashes are written out before the second pass: Spark then knows their size, broadcasts them
-    when they are few, as they usually are, and shuffles otherwise.
+    hashes are kept when first computed: Spark then knows their size, broadcasts them when they are
+    few, as they usually are, and shuffles otherwise.
     """
     hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
     repeated = hashed.groupBy("_h").agg(rows().alias("_n")).where(F.col("_n") > 1).select("_h")
-    suspects = write_and_read(repeated, "repeated-hashes")
+    suspects = kept(repeated)
     return (
         hashed.join(suspects, "_h", "left_semi")
         .groupBy(*keys)

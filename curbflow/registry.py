@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -16,10 +14,10 @@ from curbflow.config import Period
 from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
-from curbflow.session import scratch_dir
+from curbflow.session import kept
 from curbflow.sources import fixtures, manifest, staging
 from curbflow.stats import design, gram, models
-from curbflow.warehouse import LAYERS, Warehouse
+from curbflow.warehouse import LAYERS, WAVES, Warehouse
 
 # Doubles are rounded once, on the final rows, so that two engines' summation orders agree. The
 # nudge moves exact ties (common in quotients by powers of two) off the rounding boundary.
@@ -38,11 +36,11 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, fixtures.staged(spark, sf_dir))
 
 
-# Aggregated layers that a query reads more than once. They are written first, so that the trips
-# behind them are read once per layer instead of once per use.
+# Aggregated layers that a query reads more than once. They and the staged trips below them are kept,
+# so that the source tables are read and joined once per query, when its first action runs.
 _DEMAND, _SUMMARY = "hourly_taxi_demand", "hourly_mobility_summary"
 _ZONES, _PAIRS = "zone_performance", "od_flow"
-WRITTEN_FIRST: dict[str, tuple[str, ...]] = {
+KEPT_LAYERS: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(
         ("executive_mobility", "temporal_demand", "temporal_filtered_summary", "temporal_extremes", "weather_evidence"),
         (_SUMMARY,),
@@ -63,10 +61,16 @@ WRITTEN_FIRST: dict[str, tuple[str, ...]] = {
 }
 
 
-def with_written(w: Warehouse, layers: tuple[str, ...]) -> Warehouse:
+def with_kept(w: Warehouse, layers: tuple[str, ...]) -> Warehouse:
+    """The same warehouse, with its staged trips and the given layers computed once. Runs nothing itself."""
     if not layers:
         return w
-    return w.build(os.path.join(scratch_dir(w.spark), f"layers-{uuid.uuid4().hex}"), layers)
+    once = w.with_staged_trips(kept(w.inputs.taxi_trips))
+    for wave in WAVES:
+        for name in wave:
+            if name in layers:
+                once.keep(name)
+    return once
 
 
 QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {}
@@ -85,7 +89,7 @@ def query(name: str):
 def runnable() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name, fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            w = with_written(open_warehouse(spark, sf_dir), WRITTEN_FIRST.get(name, ()))
+            w = with_kept(open_warehouse(spark, sf_dir), KEPT_LAYERS.get(name, ()))
             return rounded(fn(w, sf_dir), COARSER.get(name, DIGITS))
 
         return run

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbflow.config import DEFAULT, MobilityConfig
 from curbflow.plans import geography, hourly, payments, quality, regression_base, temporal, trips, weather
+from curbflow.session import kept
 from curbflow.sources.staging import StagedInputs
 
 # Layers written together; each wave reads only the layers of earlier waves.
@@ -139,6 +140,11 @@ class Warehouse:
         """The same warehouse over an already written staging table of trips."""
         return Warehouse(self.spark, replace(self.inputs, taxi_trips=staged_trips), self.config)
 
+    def keep(self, name: str) -> None:
+        """Compute this relation once, when it is first used; relations built later read the result."""
+        self.__dict__[name] = kept(getattr(self, name))
+        self.written.add(name)
+
     def build(self, root: str, layers: tuple[str, ...] = LAYERS) -> "Warehouse":
         """Full refresh: write the layers wave by wave and return a warehouse reading them.
 
