@@ -12,7 +12,7 @@ from curbflow.functions.labels import canonical_payment
 from curbflow.functions.measures import (
     count_where, percent, ratio_if_positive, rows, sum_where,
 )
-from curbflow.operators.quantiles import Quantile, exact_quantiles
+from curbflow.operators.quantiles import Quantile, exact_quantiles, with_quantiles
 
 TAIL = {"p90": 0.90, "p95": 0.95, "p99": 0.99}
 
@@ -41,6 +41,27 @@ def tip_percentiles(metrics: DataFrame) -> DataFrame:
     ).withColumnRenamed("code", "payment_type")
 
 
+def valid_medians(metrics: DataFrame) -> DataFrame:
+    """Median distance of trips with a valid distance, median minutes of trips with a positive valid duration."""
+    return exact_quantiles(
+        metrics, [],
+        [
+            Quantile("median_valid_distance", F.when(F.col("is_distance_valid"), F.col("trip_distance"))),
+            Quantile("median_valid_minutes", F.col("trip_duration_minutes")),
+        ],
+    )
+
+
+def valid_payment_metrics(metrics: DataFrame) -> DataFrame:
+    """Valid trips, their median fare and mean recorded tip by canonical payment type."""
+    valid = metrics.where("is_revenue_valid").withColumn("code", canonical_payment(F.col("payment_type")))
+    medians = exact_quantiles(
+        valid, ["code"], [Quantile("median_valid_fare", F.col("fare_amount"))], group_bound=len(PAYMENT_LABELS) + 1
+    )
+    means = valid.groupBy("code").agg(rows().alias("valid_trips"), F.avg("tip_amount").alias("avg_valid_tip"))
+    return with_quantiles(means, "code", medians).withColumnRenamed("code", "payment_type")
+
+
 def top_hour_concentration(summary: DataFrame, n: int = 5) -> DataFrame:
     """Share of demand in the n busiest hours of day, for weekdays and weekends."""
     per_hour = summary.groupBy("is_weekend", "hour_of_day").agg(F.sum("taxi_trip_count").alias("trips"))

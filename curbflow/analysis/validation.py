@@ -312,6 +312,23 @@ def post_conditions(w: Warehouse) -> DataFrame:
     )
 
 
+# Shares of the quality metrics that must lie within 0 and 100.
+BOUNDED_PERCENTAGES = (
+    "pickup_zone_completeness_pct", "dropoff_zone_completeness_pct", "duration_validity_pct", "distance_validity_pct",
+    "revenue_validity_pct", "passenger_validity_pct", "weather_completeness_pct", "subway_completeness_pct",
+)
+
+
+def metric_bounds(w: Warehouse) -> DataFrame:
+    """Quality shares that are missing or outside 0 to 100, and demand rows with an hour outside 0 to 23."""
+    outside = lambda c, low, high: ~F.coalesce(F.col(c).between(low, high), F.lit(False))
+    shares = w.data_quality_metrics.agg(*(count_where(outside(c, 0, 100)).alias(c) for c in BOUNDED_PERCENTAGES))
+    hours = w.temporal_demand.agg(count_where(outside("hour_of_day", 0, 23)).alias("hour_of_day"))
+    found = side_by_side(shares, hours)
+    return _verdicts(found, {f"{c}_out_of_bounds": (F.lit(0), F.col(c)) for c in found.columns})
+
+
+# Columns the models need.
 REGRESSION_COLUMNS = (
     "taxi_trip_count", "temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m",
     "cloud_cover", "subway_ridership", "subway_transfers", "day_of_week",

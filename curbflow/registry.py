@@ -57,6 +57,7 @@ KEPT_LAYERS: dict[str, tuple[str, ...]] = {
     "validate_zone_mapping": (_PAIRS,),
     "validate_suite": (_DEMAND, _SUMMARY, _PAIRS),
     "validate_marts": (_DEMAND, _SUMMARY, _ZONES, _PAIRS),
+    "validate_metric_bounds": (_SUMMARY, _ZONES, _PAIRS),
     "validate_post_conditions": (_DEMAND, _SUMMARY, _ZONES, _PAIRS),
 }
 
@@ -275,6 +276,16 @@ def _(w, sf_dir):
     return dictionary.tip_percentiles(w.trip_metrics)
 
 
+@query("valid_medians")
+def _(w, sf_dir):
+    return dictionary.valid_medians(w.trip_metrics)
+
+
+@query("valid_payment_metrics")
+def _(w, sf_dir):
+    return dictionary.valid_payment_metrics(w.trip_metrics)
+
+
 @query("top_hour_concentration")
 def _(w, sf_dir):
     return dictionary.top_hour_concentration(w.hourly_mobility_summary)
@@ -364,6 +375,26 @@ def _(w, sf_dir):
     return profiling.column_profile(w.inputs.taxi_trips)
 
 
+@query("profile_columns_weather")
+def _(w, sf_dir):
+    return profiling.column_profile(w.inputs.weather_hourly)
+
+
+@query("profile_columns_zones")
+def _(w, sf_dir):
+    return profiling.column_profile(w.zones)
+
+
+@query("profile_weather_codes")
+def _(w, sf_dir):
+    return profiling.category_mix(w.inputs.weather_hourly, "weather_code")
+
+
+@query("profile_boroughs")
+def _(w, sf_dir):
+    return profiling.category_mix(w.zones, "borough")
+
+
 @query("profile_ridership_summary")
 def _(w, sf_dir):
     return findings.demand_distribution(w.inputs.subway_hourly, "total_ridership")
@@ -410,6 +441,7 @@ _VALIDATIONS = {
     "validate_zone_mapping": validation.zone_mapping,
     "validate_suite": validation.quality_suite,
     "validate_marts": validation.mart_reconciliation,
+    "validate_metric_bounds": validation.metric_bounds,
     "validate_post_conditions": validation.post_conditions,
     "validate_duplicate_trips": validation.duplicate_trips,
 }
