@@ -13,7 +13,7 @@ from curbflow.warehouse import Warehouse
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Result tables are small aggregates, so one file with a header is written."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def enforce_validations(built: Warehouse) -> None:
@@ -55,6 +55,7 @@ def run(warehouse: Warehouse, root: str, results: str, enforce: bool = True, mod
             **{f"{name}_coefficients": study.coefficients(name) for name in study.specs},
             **{f"{name}_metrics": study.metrics(name) for name in study.specs},
             **{f"{name}_test_predictions": study.test_errors(name) for name in study.specs},
+            **{f"{name}_training_residuals": study.training_residuals(name) for name in study.specs},
         }
     for name, df in tables.items():
         write_csv(df, os.path.join(results, name))
