@@ -32,10 +32,14 @@ WORDS = regex.compile(
 #: Single spaces between other characters: words never reach over them, so chunks can be cut there.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 ODD_SPACE = re.compile(r" \s|\s |^ | $")
+#: Marks after a word: a run of them is a word of its own.
+MARKS = ".,;:!?"
 #: Chunks of a generation that a task remembers, and remembered pairs of neighbours. A full generation becomes the old
 #: one; what is used again moves over from there before it is dropped.
-REMEMBERED = 600_000
+REMEMBERED = 350_000
 PAIRS = 300_000
+#: Last bytes of a path by which the tokens it can end in are remembered.
+TAIL = 5
 NEVER = 1 << 60
 
 
@@ -60,9 +64,9 @@ class Vocabulary:
         for content, i in self.added.items():
             self.bytes_of[i] = content.encode()
         self.id_of = {b: i for i, b in self.bytes_of.items() if i not in self.added.values()}
-        self.lengths: dict[bytes, list[int]] = {}  # of tokens that end in these bytes (three, if as long), the longest first
+        self.longer: dict[bytes, list[int]] = {}  # lengths of the tokens that end in so many bytes and more, downwards
         for b in sorted(self.id_of, key=len, reverse=True):
-            own = self.lengths.setdefault(b[-3:], [])
+            own = self.longer.setdefault(b[-TAIL:], []) if len(b) > TAIL else [len(b)]
             if len(b) not in own:
                 own.append(len(b))
         self.rank: dict[tuple[int, int], int] = {}
@@ -77,6 +81,7 @@ class Vocabulary:
         self._follows: dict[int, bool] = {}
         self._edge: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self._whole: dict[int, bool] = {}
+        self._endings: dict[bytes, list[tuple[int, int]]] = {}
 
     def edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens that stand at one side of `token` while it is built up, each with the rank of the merge that
@@ -124,13 +129,23 @@ class Vocabulary:
             self._whole[token] = known
         return known
 
+    def endings(self, tail: bytes) -> list[tuple[int, int]]:
+        """(length, token) of the tokens that a path with these last bytes can end in, the longest first; -1 for
+        those longer than the tail, which the path may have or not."""
+        if len(self._endings) > PAIRS:
+            self._endings.clear()
+        found = [(n, -1) for n in self.longer.get(tail, ())] if len(tail) == TAIL else []
+        found += [(n, token) for n in range(len(tail), 0, -1) if (token := self.id_of.get(tail[-n:])) is not None]
+        self._endings[tail] = found
+        return found
+
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
         """The tokens of each word, by one depth-first walk over the trie of all of them."""
         out: dict[bytes, tuple[int, ...]] = {}
         last: list[int] = [-1]  # last[i]: last token of the first i bytes of the path
         size: list[int] = [0]
         before = b""
-        id_of, lengths, known, follows = self.id_of.get, self.lengths.get, self._follows.get, self.follows
+        id_of, known, ends_in, whole = self.id_of.get, self._follows.get, self._endings.get, self._whole.get
         for word in sorted(words):
             shared, least = 0, min(len(word), len(before))
             if word[:least] == before[:least]:
@@ -140,22 +155,20 @@ class Vocabulary:
                     shared += 1
             del last[shared + 1 :], size[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                found = 0
-                for tail in (word[max(end - 3, 0) : end], word[end - 2 : end] if end > 2 else b"", word[end - 1 : end] if end > 1 else b""):
-                    for n in lengths(tail, ()):
-                        if n <= end and (token := id_of(word[end - n : end])) is not None:
-                            if n == end:
-                                fits = self.is_whole(token)
-                            elif (fits := known(last[end - n] << 32 | token)) is None:
-                                fits = follows(last[end - n], token)
-                            if fits:
-                                last.append(token)
-                                size.append(n)
-                                found = n
-                                break
-                    if found:
+                tail = word[end - TAIL : end] if end > TAIL else word[:end]
+                for n, token in ends_in(tail) or self.endings(tail):
+                    if token < 0 and (n > end or (token := id_of(word[end - n : end], -1)) < 0):
+                        continue
+                    if n == end:
+                        if (fits := whole(token)) is None:
+                            fits = self.is_whole(token)
+                    elif (fits := known(last[end - n] << 32 | token)) is None:
+                        fits = self.follows(last[end - n], token)
+                    if fits:
+                        last.append(token)
+                        size.append(n)
                         break
-                if not found:
+                else:
                     raise ValueError(f"the vocabulary lacks byte {word[end - 1]}")
             tokens, at = [], len(word)
             while at:
@@ -194,10 +207,19 @@ class Encoder:
     def learn(self, first: set[str], spaced: set[str]) -> None:
         """Encode the chunks that are not remembered, all words of them in one trie."""
         for known, lead, chunks in ((self.first, "", first), (self.spaced, " ", spaced)):
-            words_of = {c: ((lead + c).encode(),) if c.isalpha() else [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(lead + c)] for c in chunks}
-            ids = self.vocab.encode_words(set(chain.from_iterable(words_of.values())))
+            words_of: dict[str, list[bytes]] = {}
+            for c in chunks:
+                stem = c.rstrip(MARKS)
+                if not stem.isalpha():
+                    words_of[c] = [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(lead + c)]
+                elif stem not in words_of and stem not in known:
+                    words_of[stem] = [(lead + stem).encode()]
+            ids = self.vocab.encode_words({*chain.from_iterable(words_of.values()), *(c[len(c.rstrip(MARKS)) :].encode() for c in chunks)})
             for chunk, words in words_of.items():
                 known[chunk] = ids[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, words)))
+            for c in chunks - known.keys():  # a known word and the marks after it, which are a word of their own
+                stem = c.rstrip(MARKS)
+                known[c] = known[stem] + ids[c[len(stem) :].encode()]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.first) + len(self.spaced) > REMEMBERED:
