@@ -79,7 +79,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int) -> DataFr
             sums = now.groupBy(F.col(name).alias("level")).agg(F.sum("raked").alias("mass"))
             factor = F.when(F.col("mass") > 0, F.col("goal") / F.col("mass")).otherwise(0.0)
             factors = sums.join(goal, "level").select(F.col("level").alias(name), factor.alias("factor"))
-            now = written(now.join(factors, name).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor"), "raked")
+            now = now.join(factors, name).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor")
+        now = written(now, "raked")  # once a sweep: the plan of a step holds that of the step before twice
     return now
 
 
