@@ -249,19 +249,13 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per Python worker, so that later tasks profit from the words of earlier ones."""
-    return Encoder(vocabulary(path))
-
-
 #: Characters of texts encoded at a time: bounds the words held, whatever the rows of an Arrow batch hold.
 GROUP = 2_000_000
 
 
 def _encoded_groups(batches: Iterator[pa.RecordBatch], path: str, passed: int) -> Iterator[tuple[list[pa.Array], list[np.ndarray]]]:
     """The first `passed` columns and the token ids of the text column after them, group by group."""
-    texts_to_ids = encoder(path).encode
+    texts_to_ids = Encoder(vocabulary(path)).encode  # its memory ends with the task
     for batch in batches:
         start, chars, texts = 0, 0, []
         for k, value in enumerate(batch.column(passed)):
