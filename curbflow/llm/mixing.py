@@ -23,7 +23,7 @@ class Settings:
     """tempering: target shares are present shares to this power, by dimension (1 leaves a dimension as it is, 0 makes
     its levels equal). sweeps: rounds over the three dimensions. seed: of the sample."""
 
-    tempering: tuple[tuple[str, float], ...] = (("source", 0.7), ("lang", 0.8), ("topic", 0.9))
+    tempering: tuple[tuple[str, float], ...] = (("source", 0.8), ("lang", 0.9), ("topic", 1.0))
     sweeps: int = 8
     seed: str = "mix-1"
 
