@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import bpe, exact_dedup, langid, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
+from curbflow.llm import bpe, exact_dedup, langid, line_dedup, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1,
+    "op2_line_dedup": line_dedup.op2,
     "op3_language_id": langid.op3,
     "op4_quality_rules": quality_rules.op4,
     "op5_near_dedup": near_dedup.op5,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op2_line_dedup": line_dedup.OP2_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op10_source_mixing": mixing.OP10_SQL,
 }
