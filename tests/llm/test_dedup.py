@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from curbflow.llm import exact_dedup, heavy, near_dedup
+from curbflow.llm import exact_dedup, heavy, line_dedup, near_dedup
 from curbflow.llm.components import components
 
 
@@ -126,3 +126,42 @@ def test_near_copies_leave_one_of_each_group(make_docs):
 def test_null_ids_are_null(make_docs):
     docs = make_docs("a b c d", "e f g h").withColumn("doc_id", F.lit(None).cast("long"))
     assert [r.component_id for r in near_dedup.grouped(docs).collect()] == [None, None]
+
+
+def remaining_lines(texts):
+    """Line deduplication by its definition."""
+    where, cut = {}, []
+    for k, t in enumerate(texts):
+        lines = (t or "").split("\n")
+        own = [n for n, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        cut.append((lines, own))
+        for i in range(len(own) - 2):
+            where.setdefault(tuple(lines[own[i + j]] for j in range(3)), []).append((k, i))
+    later, kept = set(), set()
+    for places in where.values():
+        if len(places) > 1:
+            kept |= {(places[0][0], places[0][1] + j) for j in range(3)}
+            later |= {(k, i + j) for k, i in places[1:] for j in range(3)}
+    gone = {(k, cut[k][1][i]) for k, i in later - kept}
+    texts = ["\n".join(x for n, x in enumerate(lines) if (k, n) not in gone) for k, (lines, _) in enumerate(cut)]
+    return texts, [sum(g[0] == k for g in gone) for k in range(len(cut))]
+
+
+@pytest.mark.parametrize("share", [0.05, 1 / 4096])
+def test_lines_equal_brute_force(make_docs, monkeypatch, share):
+    monkeypatch.setattr(heavy.winners, "__defaults__", (share, round(4 / share)))
+    rng = random.Random(9)
+    texts = []
+    for _ in range(120):
+        lines = [rng.choice(["common a", "common b", "common c", "", " \t", *(f"l{n}" for n in range(6))]) for _ in range(rng.randrange(14))]
+        texts.append("\n".join([*lines, *(["hot 1", "hot 2", "hot 3", "hot 4"] if rng.random() < 0.4 else [])]))
+    texts += ["", None, "x\nx\nx\nx\nx", "one\ntwo"]
+    docs = make_docs(*texts)
+    got = line_dedup.deduplicated(docs)
+    assert got.columns == [*docs.columns, "n_lines", "n_removed"]
+    rows = {r.doc_id: r for r in got.collect()}
+    want, gone = remaining_lines(texts)
+    assert sum(gone) > 100
+    for k, t in enumerate(texts):
+        assert (rows[k].text or "") == want[k] and (rows[k].text is None) == (t is None)
+        assert rows[k].n_removed == gone[k]

@@ -3,13 +3,14 @@
 import corpus_pipeline
 import pytest
 
-from curbflow.llm import bpe, exact_dedup, langid, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
+from curbflow.llm import bpe, exact_dedup, langid, line_dedup, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
 from curbflow.llm.registry import QUERIES
 
 SMALL = langid.Settings(per_language=20, epochs=1)
 OPERATORS = {
     "verdicts": exact_dedup.verdicts,
     "copies": exact_dedup.without_copies,
+    "lines": line_dedup.deduplicated,
     "language": lambda d: langid.predict(d, langid.train(d, settings=SMALL)),
     "ledger": quality_rules.ledger,
     "accepted": quality_rules.accepted,
@@ -22,7 +23,7 @@ OPERATORS = {
     "mixing": lambda d: mixing.sampled(mixing.weighed(d), mixing.Settings(sweeps=1)),
     "mixed": lambda d: mixing.mixed(d, mixing.Settings(sweeps=1)),
 }
-ONE_ROW_EACH = {"verdicts", "language", "ledger", "near", "secrets", "tokens", "toxicity", "statistics", "mixing"}
+ONE_ROW_EACH = {"verdicts", "lines", "language", "ledger", "near", "secrets", "tokens", "toxicity", "statistics", "mixing"}
 SAME_COLUMNS = {"copies", "accepted", "near copies", "mixed"}
 
 
