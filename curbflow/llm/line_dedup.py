@@ -68,7 +68,8 @@ def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     doc, removed, lines, own = (free_name(docs, f"_{n}") for n in ("doc", "removed", "lines", "worded"))
     n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
     marks = written(repeats(docs, text_col, id_col), "repeated-lines").withColumnsRenamed({"doc": doc, "removed": removed})
-    joined = docs.withColumn(doc, identity(id_col, text_col)).join(marks, doc, "left").withColumn(lines, lines_of(F.col(text_col)))
+    # merge: the marks grow with the documents, so they are not broadcast where they happen to be few
+    joined = docs.withColumn(doc, identity(id_col, text_col)).join(marks.hint("merge"), doc, "left").withColumn(lines, lines_of(F.col(text_col)))
     joined = joined.withColumn(own, F.when(F.col(removed).isNotNull(), worded(F.col(lines))))
     gone = F.transform(F.col(removed), lambda i: F.get(F.col(own), i)["at"])
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
