@@ -2,7 +2,9 @@
 
 Token totals of the cells (source, language, topic) are raked to target shares of the sources, the languages and the
 topics in turn. A cell's weight is its raked share over its present share; documents are then sampled with probabilities
-in proportion to these weights, the largest being 1, so that the expected tokens of the sample have the target shares.
+in proportion to these weights, so that the expected tokens of the sample have the target shares. By default the largest
+probability is 1, which makes the rarest level the scale of all others; with the setting `expected` the sample has a
+stated number of expected tokens instead, and documents of cells whose rate exceeds 1 are repeated.
 """
 
 from __future__ import annotations
@@ -21,11 +23,13 @@ MISSING = "(none)"
 @dataclass(frozen=True)
 class Settings:
     """tempering: target shares are present shares to this power, by dimension (1 leaves a dimension as it is, 0 makes
-    its levels equal). sweeps: rounds over the three dimensions. seed: of the sample."""
+    its levels equal). sweeps: rounds over the three dimensions. seed: of the sample. expected: tokens of the sample in
+    expectation, as a share of the present tokens; without it the largest probability is 1."""
 
     tempering: tuple[tuple[str, float], ...] = (("source", 0.8), ("lang", 0.9), ("topic", 1.0))
     sweeps: int = 8
     seed: str = "mix-1"
+    expected: float | None = None
 
 
 #: Topics by what the whole text holds; the first that applies.
@@ -84,18 +88,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int) -> DataFr
     return now
 
 
-def cell_probabilities(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int) -> DataFrame:
+def cell_probabilities(cells: DataFrame, targets: dict[str, DataFrame], settings: Settings) -> DataFrame:
     """(source, lang, topic, weight, probability): weight is raked over present share, probability the weight over the
-    largest weight. Cells without tokens have weight 0 and probability 0."""
-    raked = rake(cells, targets, sweeps)
+    largest weight. With `expected` it is the expected copies of a document, which may exceed 1: weights average 1 over
+    the present tokens, so `expected` times the weight. Cells without tokens have weight 0 and probability 0."""
+    raked = rake(cells, targets, settings.sweeps)
     ratio = F.when(F.col("n_tokens") > 0, F.col("raked") / F.col("n_tokens")).otherwise(0.0)
     rated = raked.withColumn("ratio", ratio)
     totals = rated.agg(F.sum("n_tokens").alias("tokens"), F.max("ratio").alias("largest"), F.sum("raked").alias("mass"))
-    return rated.join(F.broadcast(totals)).select(
-        *DIMENSIONS,
-        F.when(F.col("mass") > 0, F.col("ratio") * F.col("tokens") / F.col("mass")).otherwise(0.0).alias("weight"),
-        F.when(F.col("largest") > 0, F.col("ratio") / F.col("largest")).otherwise(0.0).alias("probability"),
-    )
+    weight = F.when(F.col("mass") > 0, F.col("ratio") * F.col("tokens") / F.col("mass")).otherwise(0.0)
+    if settings.expected is None:
+        probability = F.when(F.col("largest") > 0, F.col("ratio") / F.col("largest")).otherwise(0.0)
+    else:
+        probability = weight * F.lit(float(settings.expected))
+    return rated.join(F.broadcast(totals)).select(*DIMENSIONS, weight.alias("weight"), probability.alias("probability"))
 
 
 def place(id_col: Column, seed: str) -> Column:
@@ -103,24 +109,37 @@ def place(id_col: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(id_col.cast("string"), F.lit(MISSING))).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def copies_of(rate: Column, at: Column) -> Column:
+    """How often a document at the place `at` is taken: the whole part of its rate, and once more with the rest as
+    probability. Rates up to 1 take it where its place is below the rate."""
+    whole = F.floor(rate)
+    return whole + (at < rate - whole).cast("long")
+
+
 def sampled(documents: DataFrame, settings: Settings = Settings(), targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """`weighed` rows with weight, probability and kept. Rows that repeat a doc_id share one decision if they share a
-    cell. Documents without tokens are never kept where their cell has none. No rows give no rows."""
+    cell. Documents without tokens are never kept where their cell has none. No rows give no rows. With `expected`,
+    `copies` says how often a row is taken, and probability, the copies in expectation, may exceed 1."""
     cells = written(documents.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
     targets = targets or tempered_targets(cells, settings)
-    rates = written(cell_probabilities(cells, targets, settings.sweeps), "rates")
-    return documents.join(rates, [*DIMENSIONS], "left").withColumns({
+    rates = written(cell_probabilities(cells, targets, settings), "rates")
+    rows = documents.join(rates, [*DIMENSIONS], "left").withColumns({
         "weight": F.coalesce("weight", F.lit(0.0)), "probability": F.coalesce("probability", F.lit(0.0)),
-    }).withColumn("kept", place(F.col("doc_id"), settings.seed) < F.col("probability"))
+    })
+    at = place(F.col("doc_id"), settings.seed)
+    if settings.expected is None:
+        return rows.withColumn("kept", at < F.col("probability"))
+    return rows.withColumn("copies", copies_of(F.col("probability"), at)).withColumn("kept", F.col("copies") > 0)
 
 
 def mixed(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
-    """The sampled rows of docs, with all their columns. Texts stay where they are: only cell rates are joined to them."""
+    """The sampled rows of docs, with all their columns. Texts stay where they are: only cell rates are joined to them.
+    With `expected`, a row stands as often as it is taken."""
     levels = {d: free_name(docs, f"_{d}") for d in DIMENSIONS}
     rows = weighed(docs, id_col, text_col, source_col, lang_col, topic)
     cells = written(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
-    rates = written(cell_probabilities(cells, tempered_targets(cells, settings), settings.sweeps), "rates")
+    rates = written(cell_probabilities(cells, tempered_targets(cells, settings), settings), "rates")
     odds = free_name(docs, "_probability")
     rates = rates.select(*(F.col(d).alias(levels[d]) for d in DIMENSIONS), F.col("probability").alias(odds))
     level = lambda c: F.coalesce(c.cast("string"), F.lit(MISSING))
@@ -128,7 +147,13 @@ def mixed(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
         levels["source"]: level(F.col(source_col)), levels["lang"]: level(F.col(lang_col)),
         levels["topic"]: level(topic_of(text_col) if topic is None else topic),
     })
-    return marked.join(rates, list(levels.values())).filter(place(F.col(id_col), settings.seed) < F.col(odds)).select(*docs.columns)
+    found = marked.join(rates, list(levels.values()))
+    at = place(F.col(id_col), settings.seed)
+    if settings.expected is None:
+        return found.filter(at < F.col(odds)).select(*docs.columns)
+    turn = free_name(docs, "_turn")
+    taken = found.withColumn(odds, copies_of(F.col(odds), at)).filter(F.col(odds) > 0)
+    return taken.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(odds)))).select(*docs.columns)
 
 
 DIGITS = 9
@@ -141,6 +166,14 @@ def op10(spark: SparkSession, sf_dir: str, settings: Settings = Settings()) -> D
     )
 
 
+#: op10 without the largest probability as scale: the sample has nine tenths of the present tokens in expectation.
+EXPECTED = Settings(expected=0.9)
+
+
+def op10_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10(spark, sf_dir, EXPECTED)
+
+
 def sql(settings: Settings = Settings(), result: str = "", documents: str = "documents") -> str:
     """The same by DuckDB, sweep by sweep."""
     topics = " ".join(f"when contains(coalesce(text, ''), '{mark}') then '{name}'" for name, mark in TOPICS)
@@ -170,6 +203,15 @@ def sql(settings: Settings = Settings(), result: str = "", documents: str = "doc
                case when max(ratio) over () > 0 then ratio / max(ratio) over () else 0 end as probability
         from rated)""")
     chosen = f"(('0x' || substr(md5('{settings.seed}' || coalesce(doc_id::varchar, '{MISSING}')), 1, 8))::bigint / {float(1 << 32)}) < probability"
+    if settings.expected is not None:
+        parts.append(f"""scaled as materialized (
+        select source, lang, topic, weight, weight * {settings.expected} as probability from rates)""")
+        parts.append(f"""placed as (
+        select *, (('0x' || substr(md5('{settings.seed}' || coalesce(doc_id::varchar, '{MISSING}')), 1, 8))::bigint / {float(1 << 32)}) as place
+        from docs join scaled using (source, lang, topic))""")
+        result = result or f"""select doc_id, source, lang, topic, n_tokens, round(weight, {DIGITS}) as weight,
+           round(probability, {DIGITS}) as probability, copies, copies > 0 as kept from (
+        select *, (floor(probability) + (place < probability - floor(probability))::int)::bigint as copies from placed)"""
     result = result or f"""select doc_id, source, lang, topic, n_tokens, round(weight, {DIGITS}) as weight,
            round(probability, {DIGITS}) as probability, {chosen} as kept
     from docs join rates using (source, lang, topic)"""
@@ -177,3 +219,4 @@ def sql(settings: Settings = Settings(), result: str = "", documents: str = "doc
 
 
 OP10_SQL = sql()
+OP10_EXPECTED_SQL = sql(EXPECTED)

@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8,
     "op9_quality_classifier": quality_model.op9,
     "op10_source_mixing": mixing.op10,
+    "op10_source_mixing_expected": mixing.op10_expected,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op10_source_mixing": mixing.OP10_SQL,
+    "op10_source_mixing_expected": mixing.OP10_EXPECTED_SQL,
 }

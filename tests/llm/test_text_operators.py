@@ -126,3 +126,29 @@ def test_raking_meets_the_targets(spark, make_docs):
 def test_tokenless_documents_have_no_weight(make_docs):
     got = mixing.sampled(mixing.weighed(make_docs("", None)), mixing.Settings(sweeps=1)).collect()
     assert [(r.weight, r.kept) for r in got] == [(0.0, False)] * 2
+
+
+def test_a_rare_source_does_not_set_the_scale(spark):
+    """One short document of a new source changes the kept tokens of the others little, and targets hold in expectation."""
+    rng = random.Random(8)
+    rows = [(k, rng.choice("ab"), "x", "p", 1_000) for k in range(4_000)] + [(4_000, None, "x", "p", 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long").fillna("(none)")
+    settings = mixing.Settings(expected=0.9)
+    got = mixing.sampled(docs, settings).collect()
+    assert sum(r.n_tokens * r.probability for r in got) == pytest.approx(0.9 * sum(r.n_tokens for r in got))
+    assert sum(r.kept for r in got) > 0.85 * len(got)
+    rare = got[[r.source for r in got].index("(none)")]
+    assert rare.probability > 1 and rare.copies in (int(rare.probability), int(rare.probability) + 1)
+    present = {s: sum(r.n_tokens for r in got if r.source == s) for s in ("a", "b", "(none)")}
+    scale = sum(v**0.8 for v in present.values())
+    for s, v in present.items():
+        wanted = 0.9 * sum(present.values()) * v**0.8 / scale
+        assert sum(r.n_tokens * r.probability for r in got if r.source == s) == pytest.approx(wanted, rel=1e-6)
+
+
+def test_mixed_rows_stand_as_often_as_they_are_taken(make_docs):
+    docs = make_docs(*(f"w{k} some words here" for k in range(40)))
+    settings = mixing.Settings(expected=2.5)
+    want = {r.doc_id: r.copies for r in mixing.sampled(mixing.weighed(docs), settings).collect()}
+    got = [r.doc_id for r in mixing.mixed(docs, settings).collect()]
+    assert {k: got.count(k) for k in want} == want and set(want.values()) == {2, 3}
