@@ -3,6 +3,9 @@
 Windows of three consecutive lines (lines without a word don't count) are hashed; a window that occurs more than once in
 all documents stays where it occurs first, by doc_id and position, and its later occurrences are removed. Covered
 positions of a document are merged, and lines that belong to a first occurrence are never removed.
+
+Texts of one or two lines have no window, and two copied lines at the edge of a text lie in none that repeats. With
+`edges`, each document is taken as lying between two marks, one before and one behind it, so both have windows.
 """
 
 from __future__ import annotations
@@ -33,21 +36,29 @@ def identity(id_col: str, text_col: str) -> Column:
     return F.unhex(F.md5(F.concat(own, F.lit("\n"), text_of(text_col)).cast("binary")))
 
 
-def windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc, doc_id, i, key): the i-th window of each document, by its hash."""
+def windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False) -> DataFrame:
+    """(doc, doc_id, i, key): the i-th window of each document, by its hash. With `edges` i is -1 for the window that
+    begins with the mark of the start; a mark is a blank line, which no worded line equals."""
     found = docs.select(
         identity(id_col, text_col).alias("doc"), F.col(id_col).alias("doc_id"), worded(lines_of(text_of(text_col))).alias("w")
-    ).filter(F.size("w") >= WIDTH)
+    )
+    first = 0
+    if edges:
+        mark = F.array(F.struct(F.lit(-1).alias("at"), F.lit("").alias("line")))
+        found = found.filter(F.size("w") > 0).withColumn("w", F.concat(mark, "w", mark))
+        first = -1
+    found = found.filter(F.size("w") >= WIDTH)
     digest = lambda i: F.unhex(F.md5(F.concat_ws("\n", *(F.get(F.col("w"), i + k)["line"] for k in range(WIDTH))).cast("binary")))
-    each = F.transform(F.sequence(F.lit(0), F.size("w") - WIDTH), lambda i: F.struct(i.alias("i"), digest(i).alias("key")))
+    each = F.transform(F.sequence(F.lit(0), F.size("w") - WIDTH), lambda i: F.struct((i + first).alias("i"), digest(i).alias("key")))
     return found.select("doc", "doc_id", F.inline(each))
 
 
-def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc, removed): per document with later occurrences, the indexes of its worded lines to remove.
+def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False) -> DataFrame:
+    """(doc, removed): per document with later occurrences, the indexes of its worded lines to remove. With `edges`
+    they may be the places of marks, below 0 or behind the last line.
 
     Frequent windows are settled on the map side, the others in a shuffle where none exceeds the share."""
-    rows = written(windows(docs, text_col, id_col), "line-windows")
+    rows = written(windows(docs, text_col, id_col, edges), "line-windows")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "i"))
     often = written(heavy.winners(rows, best), "frequent-windows")
     marked = heavy.group_winners(rows, best, often).filter("size > 1")
@@ -59,18 +70,20 @@ def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     return by_doc.select("doc", F.array_except(spread(F.col("later")), spread(F.col("own"))).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False) -> DataFrame:
     """docs with the remaining text, and `n_lines`, `n_removed` (with underscores in front if docs has such columns).
 
-    One row per row of docs. A null text stays null; texts of fewer than three lines with a word are left alone. Rows
-    that repeat doc_id and text are treated alike. A null doc_id comes after all others. No rows give no rows.
+    One row per row of docs. A null text stays null; texts of fewer than three lines with a word are left alone, unless
+    `edges` gives them windows of their own. Rows that repeat doc_id and text are treated alike. A null doc_id comes after all others. No rows give no rows.
     """
     doc, removed, lines, own = (free_name(docs, f"_{n}") for n in ("doc", "removed", "lines", "worded"))
     n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
-    marks = written(repeats(docs, text_col, id_col), "repeated-lines").withColumnsRenamed({"doc": doc, "removed": removed})
+    marks = written(repeats(docs, text_col, id_col, edges), "repeated-lines").withColumnsRenamed({"doc": doc, "removed": removed})
     # merge: the marks grow with the documents, so they are not broadcast where they happen to be few
     joined = docs.withColumn(doc, identity(id_col, text_col)).join(marks.hint("merge"), doc, "left").withColumn(lines, lines_of(F.col(text_col)))
     joined = joined.withColumn(own, F.when(F.col(removed).isNotNull(), worded(F.col(lines))))
+    if edges:
+        joined = joined.withColumn(removed, F.filter(removed, lambda i: (i >= 0) & (i < F.size(own))))
     gone = F.transform(F.col(removed), lambda i: F.get(F.col(own), i)["at"])
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     rest = F.array_join(F.transform(stay, lambda at: F.get(F.col(lines), at)), "\n")

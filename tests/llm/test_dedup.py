@@ -165,3 +165,37 @@ def test_lines_equal_brute_force(make_docs, monkeypatch, share):
     for k, t in enumerate(texts):
         assert (rows[k].text or "") == want[k] and (rows[k].text is None) == (t is None)
         assert rows[k].n_removed == gone[k]
+
+
+def lines_between_marks(texts, protect):
+    """Line deduplication with marks around each text, by its definition."""
+    where, cut = {}, []
+    for k, t in enumerate(texts):
+        lines = (t or "").split("\n")
+        own = [n for n, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        cut.append((lines, own))
+        padded = [None, *(lines[n] for n in own), None]
+        for i in range(len(own)):
+            where.setdefault(tuple(padded[i : i + 3]), []).append((k, i - 1))
+    places = [(p, n) for found in where.values() if len(found) > 1 for n, p in enumerate(found)]
+    later, first = ({(k, i + j) for (k, i), n in places if (n > 0) == side for j in range(3)} for side in (True, False))
+    gone = {(k, cut[k][1][i]) for k, i in (later - first if protect else later) if 0 <= i < len(cut[k][1])}
+    return ["\n".join(x for n, x in enumerate(lines) if (k, n) not in gone) for k, (lines, _) in enumerate(cut)]
+
+
+def line_texts():
+    rng = random.Random(12)
+    texts = ["only line", "two\nlines", "only line", "two\nlines\n", "", None, "x\nx\nx\nx\nx", " \n"]
+    for k in range(60):
+        lines = [rng.choice(["common a", "common b", "", *(f"l{n}" for n in range(6))]) for _ in range(rng.randrange(9))]
+        texts.append("\n".join([*lines, f"own {k}", *(["tail 1", "tail 2"] if rng.random() < 0.4 else [])]))
+    return texts
+
+
+def test_short_texts_and_edges_have_windows(make_docs):
+    texts = line_texts()
+    rows = {r.doc_id: r for r in line_dedup.deduplicated(make_docs(*texts), edges=True).collect()}
+    want = lines_between_marks(texts, protect=True)
+    assert [rows[k].text or "" for k in range(len(texts))] == want
+    assert want[2] == want[3].strip() == "" and rows[2].n_removed == 1 and rows[3].n_removed == 2
+    assert sum("tail 1" in x for x in want) == 1 < sum("tail 1" in (t or "") for t in texts)
