@@ -5,7 +5,8 @@ all documents stays where it occurs first, by doc_id and position, and its later
 positions of a document are merged, and lines that belong to a first occurrence are never removed.
 
 Texts of one or two lines have no window, and two copied lines at the edge of a text lie in none that repeats. With
-`edges`, each document is taken as lying between two marks, one before and one behind it, so both have windows.
+`edges`, each document is taken as lying between two marks, one before and one behind it, so both have windows. Without
+`protect`, every position that a later occurrence covers is removed: each line still stands at the earliest of its copies.
 """
 
 from __future__ import annotations
@@ -53,9 +54,10 @@ def windows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edg
     return found.select("doc", "doc_id", F.inline(each))
 
 
-def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False,
+            protect: bool = True) -> DataFrame:
     """(doc, removed): per document with later occurrences, the indexes of its worded lines to remove. With `edges`
-    they may be the places of marks, below 0 or behind the last line.
+    they may be the places of marks, below 0 or behind the last line. `protect` leaves out lines of first occurrences.
 
     Frequent windows are settled on the map side, the others in a shuffle where none exceeds the share."""
     rows = written(windows(docs, text_col, id_col, edges), "line-windows")
@@ -67,10 +69,12 @@ def repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edg
     by_doc = marked.groupBy("doc").agg(
         F.collect_set(F.when(~first, F.col("i"))).alias("later"), F.collect_set(F.when(first, F.col("i"))).alias("own")
     ).filter(F.size("later") > 0)
-    return by_doc.select("doc", F.array_except(spread(F.col("later")), spread(F.col("own"))).alias("removed"))
+    later = F.array_distinct(spread(F.col("later")))
+    return by_doc.select("doc", (F.array_except(later, spread(F.col("own"))) if protect else later).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", edges: bool = False,
+                 protect: bool = True) -> DataFrame:
     """docs with the remaining text, and `n_lines`, `n_removed` (with underscores in front if docs has such columns).
 
     One row per row of docs. A null text stays null; texts of fewer than three lines with a word are left alone, unless
@@ -78,7 +82,7 @@ def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     """
     doc, removed, lines, own = (free_name(docs, f"_{n}") for n in ("doc", "removed", "lines", "worded"))
     n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
-    marks = written(repeats(docs, text_col, id_col, edges), "repeated-lines").withColumnsRenamed({"doc": doc, "removed": removed})
+    marks = written(repeats(docs, text_col, id_col, edges, protect), "repeated-lines").withColumnsRenamed({"doc": doc, "removed": removed})
     # merge: the marks grow with the documents, so they are not broadcast where they happen to be few
     joined = docs.withColumn(doc, identity(id_col, text_col)).join(marks.hint("merge"), doc, "left").withColumn(lines, lines_of(F.col(text_col)))
     joined = joined.withColumn(own, F.when(F.col(removed).isNotNull(), worded(F.col(lines))))
@@ -94,9 +98,13 @@ def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     }).select(*docs.columns, n_lines, n_removed)
 
 
-def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op2(spark: SparkSession, sf_dir: str, edges: bool = False, protect: bool = True) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return deduplicated(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    return deduplicated(docs, edges=edges, protect=protect).select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def op2_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2(spark, sf_dir, edges=True, protect=False)
 
 
 OP2_SQL = r"""
@@ -126,3 +134,26 @@ with lines as (
 select doc_id, n_lines, (n_lines - coalesce(n_stay, 0))::bigint as n_removed, sha256(coalesce(stay.text, '')) as text_sha256
 from sizes left join stay using (doc_id)
 """
+
+OP2_WHOLE_SQL = r"""
+with lines as (
+    select doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as spot,
+           unnest(string_split(coalesce(text, ''), chr(10))) as line from documents
+), worded as (
+    select doc_id, spot, line, row_number() over (partition by doc_id order by spot) - 1 as i
+    from lines where regexp_matches(line, '[^\x20\x09-\x0D]')
+), windows as (
+    select doc_id, i, coalesce(lag(line) over w, '') || chr(10) || line || chr(10) || coalesce(lead(line) over w, '') as window_text
+    from worded window w as (partition by doc_id order by i)
+), placed as (
+    select *, row_number() over (partition by window_text order by doc_id, i) as occurrence from windows
+), removed as (
+    select distinct doc_id, i + k as i from placed, range(-1, 2) as r(k) where occurrence > 1
+), stay as (
+    select doc_id, count(*) as n_stay, string_agg(line, chr(10) order by spot) as text
+    from lines where not exists (
+        select 1 from removed r join worded w using (doc_id, i) where w.doc_id = lines.doc_id and w.spot = lines.spot) group by 1
+), sizes as (select doc_id, count(*) as n_lines from lines group by 1)
+select doc_id, n_lines, (n_lines - coalesce(n_stay, 0))::bigint as n_removed, sha256(coalesce(stay.text, '')) as text_sha256
+from sizes left join stay using (doc_id)
+"""

@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": quality_model.op9,
     "op10_source_mixing": mixing.op10,
     "op10_source_mixing_expected": mixing.op10_expected,
+    "op2_line_dedup_whole": line_dedup.op2_whole,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
@@ -27,4 +28,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op10_source_mixing": mixing.OP10_SQL,
     "op10_source_mixing_expected": mixing.OP10_EXPECTED_SQL,
+    "op2_line_dedup_whole": line_dedup.OP2_WHOLE_SQL,
 }

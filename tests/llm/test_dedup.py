@@ -199,3 +199,15 @@ def test_short_texts_and_edges_have_windows(make_docs):
     assert [rows[k].text or "" for k in range(len(texts))] == want
     assert want[2] == want[3].strip() == "" and rows[2].n_removed == 1 and rows[3].n_removed == 2
     assert sum("tail 1" in x for x in want) == 1 < sum("tail 1" in (t or "") for t in texts)
+
+
+def test_later_copies_go_even_where_a_window_across_the_border_is_first(make_docs):
+    passage = [f"passage {k}" for k in range(3)]
+    host = ["a 1", "a 2", *passage, "a 3", "a 4"]
+    texts = ["\n".join(["z 1", *passage, "z 2"]), "\n".join(host), "\n".join(host), *line_texts()]
+    rows = {r.doc_id: r for r in line_dedup.deduplicated(make_docs(*texts), edges=True, protect=False).collect()}
+    want = lines_between_marks(texts, protect=False)
+    assert [rows[k].text or "" for k in range(len(texts))] == want
+    assert want[1].split("\n") == ["a 1", "a 2", "a 3", "a 4"] and want[2] == ""
+    worded = lambda ts: {x for t in ts for x in (t or "").split("\n") if x.strip()}
+    assert worded(want) == worded(texts)
