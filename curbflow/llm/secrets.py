@@ -31,7 +31,8 @@ ORDINARY = r"[A-Za-z0-9+/_=-]{6,}"
 
 @dataclass(frozen=True)
 class Settings:
-    """sample_docs bounds the documents (by hash of the id) whose words and pattern hits are the labelled sample.
+    """sample_docs bounds the documents (by hash of the id) from whose ids random strings are made; words and pattern hits
+    are counted over all documents, and made strings so many times more, so that their part does not depend on the size.
     smoothing is added to each pair count. A candidate is taken if its log ratio reaches `least` in total and
     `least_mean` for each pair."""
 
@@ -44,8 +45,7 @@ class Settings:
 
 def pairs(samples: DataFrame) -> DataFrame:
     """(label, pair, n) of rows (label, sample): adjacent characters, counted over all samples."""
-    at = F.sequence(F.lit(1), F.length("sample") - 1)
-    cut = samples.filter(F.length("sample") > 1).select("label", F.explode(F.transform(at, lambda i: F.substr("sample", i, F.lit(2)))).alias("pair"))
+    cut = samples.select("label", F.explode(F.regexp_extract_all("sample", F.lit("(?=(..))"), F.lit(1))).alias("pair"))
     return cut.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -65,32 +65,34 @@ def log_ratios(counts: DataFrame, smoothing: float) -> list[float]:
     return out
 
 
-def labelled_samples(docs: DataFrame, settings: Settings, text_col: str, id_col: str) -> DataFrame:
-    """(label, sample): ordinary words of the sampled documents outside pattern hits (0); values of pattern hits, and
-    random strings made from digests of the ids in base 64, hexadecimal and capitals (1)."""
-    chosen = docs.select(F.col(id_col).alias("chosen")).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(settings.sample_docs)
-    picked = docs.join(F.broadcast(chosen), docs[id_col] == chosen["chosen"], "left_semi").select(
-        text_of(text_col).alias("text"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id")
-    )
-    picked = written(picked, "secret-sample")
-    rest = F.col("text")
+def found_samples(docs: DataFrame, text_col: str) -> DataFrame:
+    """(label, sample) of all documents: ordinary words outside pattern hits (0), values of pattern hits (1)."""
+    rest = text_of(text_col)
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, F.lit(pattern), F.lit(" "))
-    words = picked.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("sample"))
-    hits = [F.regexp_extract_all("text", F.lit(p), F.lit(g)) for p, g in ((ASSIGN, 2), (ACCESS, 0), (HEX, 0))]
-    found = picked.select(F.lit(1).alias("label"), F.explode(F.concat(*hits)).alias("sample")).filter(F.length("sample") >= 16)
+    words = F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))
+    hits = F.concat(*(F.regexp_extract_all(text_of(text_col), F.lit(p), F.lit(g)) for p, g in ((ASSIGN, 2), (ACCESS, 0), (HEX, 0))))
+    labelled = lambda samples, label: F.transform(samples, lambda x: F.struct(F.lit(label).alias("label"), x.alias("sample")))
+    return docs.select(F.inline(F.concat(labelled(words, 0), labelled(F.filter(hits, lambda x: F.length(x) >= 16), 1))))
+
+
+def made_samples(picked: DataFrame, settings: Settings) -> DataFrame:
+    """(label, sample): random strings made from digests of the ids in base 64, hexadecimal and capitals (1)."""
     made = []
     for k in range(settings.random_per_doc):
         digest = F.sha2(F.concat("id", F.lit(f"/{k}")).cast("binary"), 256)
         plain = F.base64(F.unhex(digest))
         made += [plain, F.substr(digest, F.lit(1), F.lit(40)), F.regexp_replace(F.upper(plain), "[^A-Z0-9]", "")]
-    strings = picked.select(F.lit(1).alias("label"), F.explode(F.array(*made)).alias("sample"))
-    return words.unionByName(found).unionByName(strings)
+    return picked.select(F.lit(1).alias("label"), F.explode(F.array(*made)).alias("sample"))
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", id_col: str = "doc_id") -> list[float]:
     """The log ratios of all character pairs. Without documents they are 0, so no string is taken."""
-    return log_ratios(pairs(labelled_samples(docs, settings, text_col, id_col)), settings.smoothing)
+    ids = docs.select(F.col(id_col).alias("id")).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(settings.sample_docs)
+    picked = written(ids.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id")), "secret-sample")
+    times = docs.count() / max(picked.count(), 1)
+    made = pairs(made_samples(picked, settings)).withColumn("n", F.col("n") * F.lit(times))
+    return log_ratios(pairs(found_samples(docs, text_col)).unionByName(made), settings.smoothing)
 
 
 def ratio_of(sample: Column, ratios: list[float]) -> Column:

@@ -152,3 +152,11 @@ def test_mixed_rows_stand_as_often_as_they_are_taken(make_docs):
     want = {r.doc_id: r.copies for r in mixing.sampled(mixing.weighed(docs), settings).collect()}
     got = [r.doc_id for r in mixing.mixed(docs, settings).collect()]
     assert {k: got.count(k) for k in want} == want and set(want.values()) == {2, 3}
+
+
+def test_ordinary_words_of_all_documents_are_counted(make_docs):
+    """Identifiers of documents outside the bounded sample are not unseen."""
+    styles = [a + b for a in "qxzjkvwy" for b in "QXZJKVWY"]
+    ratios = secrets.train(make_docs(*(x * 10 for x in styles)), secrets.Settings(sample_docs=1))
+    place = {c: k for k, c in enumerate(secrets.ALPHABET)}
+    assert max(ratios[place[a] * len(place) + place[b]] for a, b in styles) < -1
