@@ -159,4 +159,4 @@ def test_ordinary_words_of_all_documents_are_counted(make_docs):
     styles = [a + b for a in "qxzjkvwy" for b in "QXZJKVWY"]
     ratios = secrets.train(make_docs(*(x * 10 for x in styles)), secrets.Settings(sample_docs=1))
     place = {c: k for k, c in enumerate(secrets.ALPHABET)}
-    assert max(ratios[place[a] * len(place) + place[b]] for a, b in styles) < -1
+    assert np.mean([ratios[place[a] * len(place) + place[b]] for a, b in styles]) < -1
