@@ -1,8 +1,8 @@
 """Secret scans with DataFrame functions alone: fixed patterns, and random strings by character Markov models.
 
 Two first-order Markov models over characters, one of random strings and one of ordinary identifiers and words, are
-trained by counting character pairs of labelled samples. A candidate string is a secret if its log-likelihood ratio
-reaches a limit. Everything on the path of the texts is an expression of Spark; the driver only turns pair counts (at most
+trained by counting character pairs of labelled samples. A candidate string is a secret if its log-likelihood ratio,
+or that of a contiguous part of it, reaches a limit. Everything on the path of the texts is an expression of Spark; the driver only turns pair counts (at most
 twice the square of the alphabet) into log ratios.
 """
 
@@ -95,14 +95,46 @@ def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "tex
     return log_ratios(pairs(found_samples(docs, text_col)).unionByName(made), settings.smoothing)
 
 
-def ratio_of(sample: Column, ratios: list[float]) -> Column:
-    """The log-likelihood ratio of a string over the alphabet."""
+#: Least pairs of a part that is scored on its own: those of the shortest candidate.
+PART = 15
+
+
+def scores_random(sample: Column, ratios: list[float], settings: Settings) -> Column:
+    """Whether a string over the alphabet, or a contiguous part of it of at least PART pairs, reaches the limits.
+
+    The part is the one whose ratio exceeds least_mean a pair by most: of the parts that end at a pair, the last PART
+    pairs and, if that adds to them, the best run before these. One pass, with a state of bounded size."""
     known = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
     code = lambda i: F.instr(F.lit(ALPHABET), F.substr(sample, i, F.lit(1))) - 1
-    steps = F.sequence(F.lit(2), F.length(sample))
-    return F.aggregate(
-        steps, F.lit(0.0), lambda total, i: total + F.get(known, code(i - 1) * len(ALPHABET) + code(i))
+    ratio = lambda i: F.get(known, code(i - 1) * len(ALPHABET) + code(i))
+    mean, zero = settings.least_mean, F.lit(0.0)
+
+    def best(acc: Column) -> Column:
+        part = F.struct((acc["last"] + acc["before"]["score"]).alias("score"), (acc["before"]["n"] + PART).alias("n"))
+        return F.when(acc["seen"] >= PART, F.greatest(acc["best"], part)).otherwise(acc["best"])
+
+    def step(acc: Column, i: Column) -> Column:
+        now = ratio(i)
+        left = F.when(acc["seen"] >= PART, ratio(i - PART) - mean).otherwise(zero)
+        run = F.struct((acc["before"]["score"] + left).alias("score"), (acc["before"]["n"] + 1).alias("n"))
+        none = F.struct(zero.alias("score"), F.lit(0).alias("n"))
+        return F.struct(
+            (acc["whole"] + now).alias("whole"), (acc["last"] + now - mean - left).alias("last"),
+            F.when(acc["seen"] >= PART, F.greatest(run, none)).otherwise(none).alias("before"),
+            best(acc).alias("best"), (acc["seen"] + 1).alias("seen"),
+        )
+
+    def reached(acc: Column) -> Column:
+        part = best(acc)
+        return (acc["whole"] >= F.greatest(F.lit(settings.least), mean * acc["seen"])) | (
+            (part["score"] >= 0) & (part["score"] + mean * part["n"] >= settings.least)
+        )
+
+    start = F.struct(
+        zero.alias("whole"), zero.alias("last"), F.struct(zero.alias("score"), F.lit(0).alias("n")).alias("before"),
+        F.struct(F.lit(-1.0).alias("score"), F.lit(0).alias("n")).alias("best"), F.lit(0).alias("seen"),
     )
+    return F.aggregate(F.sequence(F.lit(2), F.length(sample)), start, step, reached)
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -150,9 +182,8 @@ def scanned(docs: DataFrame, ratios: list[float], settings: Settings = Settings(
 
     def looks_random(span: Column) -> Column:
         own = F.substr(F.col(text), span["start"] + 1, span["end"] - span["start"])
-        ratio = ratio_of(own, ratios)
-        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])) & (
-            ratio >= F.greatest(F.lit(settings.least), settings.least_mean * (span["end"] - span["start"] - 1))
+        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])) & scores_random(
+            own, ratios, settings
         )
 
     rows = rows.withColumn(added, F.filter(names["random"][2], looks_random))

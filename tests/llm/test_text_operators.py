@@ -160,3 +160,15 @@ def test_ordinary_words_of_all_documents_are_counted(make_docs):
     ratios = secrets.train(make_docs(*(x * 10 for x in styles)), secrets.Settings(sample_docs=1))
     place = {c: k for k, c in enumerate(secrets.ALPHABET)}
     assert np.mean([ratios[place[a] * len(place) + place[b]] for a, b in styles]) < -1
+
+
+def test_a_key_behind_long_words_is_found(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    ratios = secrets.train(docs)
+    words = "the-nation-and-the-other-internationalization-of-the-same-station-" * 4
+    texts = [f"{words}x9Fq3LmZ7pQ2vT8kR4sWb1Nc", words, f"x9Fq3LmZ7pQ2vT8kR4sWb1Nc-{words}"]
+    rows = secrets.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ratios).orderBy("doc_id").collect()
+    assert [[tuple(s) for s in r.added] for r in rows] == [[(0, 3, len(texts[0]))], [], [(0, 3, len(texts[2]))]]
+    place = {c: k for k, c in enumerate(secrets.ALPHABET)}
+    pairs = [ratios[place[a] * len(place) + place[b]] for a, b in zip(texts[0], texts[0][1:])]
+    assert sum(pairs) < 0.5 * len(pairs)
