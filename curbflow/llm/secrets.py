@@ -105,17 +105,20 @@ def scores_random(sample: Column, ratios: list[float], settings: Settings) -> Co
     The part is the one whose ratio exceeds least_mean a pair by most: of the parts that end at a pair, the last PART
     pairs and, if that adds to them, the best run before these. One pass, with a state of bounded size."""
     known = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substr(sample, i, F.lit(1))) - 1
-    ratio = lambda i: F.get(known, code(i - 1) * len(ALPHABET) + code(i))
+    code = lambda pair, i: F.instr(F.lit(ALPHABET), F.substr(pair, F.lit(i), F.lit(1))) - 1
+    each = F.transform(
+        F.regexp_extract_all(sample, F.lit("(?=(..))"), F.lit(1)),
+        lambda pair: F.get(known, code(pair, 1) * len(ALPHABET) + code(pair, 2)),
+    )
     mean, zero = settings.least_mean, F.lit(0.0)
 
     def best(acc: Column) -> Column:
         part = F.struct((acc["last"] + acc["before"]["score"]).alias("score"), (acc["before"]["n"] + PART).alias("n"))
         return F.when(acc["seen"] >= PART, F.greatest(acc["best"], part)).otherwise(acc["best"])
 
-    def step(acc: Column, i: Column) -> Column:
-        now = ratio(i)
-        left = F.when(acc["seen"] >= PART, ratio(i - PART) - mean).otherwise(zero)
+    def step(found: Column, acc: Column, i: Column) -> Column:
+        now = F.get(found, i)
+        left = F.when(acc["seen"] >= PART, F.get(found, i - PART) - mean).otherwise(zero)
         run = F.struct((acc["before"]["score"] + left).alias("score"), (acc["before"]["n"] + 1).alias("n"))
         none = F.struct(zero.alias("score"), F.lit(0).alias("n"))
         return F.struct(
@@ -134,7 +137,11 @@ def scores_random(sample: Column, ratios: list[float], settings: Settings) -> Co
         zero.alias("whole"), zero.alias("last"), F.struct(zero.alias("score"), F.lit(0).alias("n")).alias("before"),
         F.struct(F.lit(-1.0).alias("score"), F.lit(0).alias("n")).alias("best"), F.lit(0).alias("seen"),
     )
-    return F.aggregate(F.sequence(F.lit(2), F.length(sample)), start, step, reached)
+    # the ratios are bound as a variable, so that a step does not find them again
+    scored = F.transform(F.array(each), lambda found: F.aggregate(
+        F.sequence(F.lit(0), F.size(found) - 1), start, lambda acc, i: step(found, acc, i), reached
+    ))
+    return F.get(scored, F.lit(0))
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
