@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import bpe, exact_dedup, langid, line_dedup, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
+from curbflow.llm import (
+    bpe, exact_dedup, langid, lexical, line_dedup, merkle, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1,
@@ -21,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mixing": mixing.op10,
     "op10_source_mixing_expected": mixing.op10_expected,
     "op2_line_dedup_whole": line_dedup.op2_whole,
+    "op11_warc": warc.op11,
+    "op12_merkle_manifest": merkle.op12,
+    "op13_lexical_search": lexical.op13,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
@@ -29,4 +34,7 @@ ORACLES: dict[str, str] = {
     "op10_source_mixing": mixing.OP10_SQL,
     "op10_source_mixing_expected": mixing.OP10_EXPECTED_SQL,
     "op2_line_dedup_whole": line_dedup.OP2_WHOLE_SQL,
+    "op11_warc": warc.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
+    "op13_lexical_search": lexical.OP13_SQL,
 }

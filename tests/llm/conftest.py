@@ -47,9 +47,15 @@ def make_docs(spark):
 def as_table(spark, tmp_path):
     """A folder with documents and labels of the given rows, as queries read them."""
 
-    def put(docs, labels=()):
-        docs.write.parquet(f"{tmp_path}/documents.parquet")
-        spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    def put(docs, labels=(), items=((0, "quick brown fox"),)):
+        tables = {
+            "documents": docs,
+            "labels": spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int"),
+            "pages": docs.selectExpr("doc_id as page_id", "source as url", "text as html"),
+            "benchmark": spark.createDataFrame(list(items), "item_id long, text string"),
+        }
+        for name, rows in tables.items():
+            rows.write.parquet(f"{tmp_path}/{name}.parquet")
         return str(tmp_path)
 
     return put

@@ -3,7 +3,9 @@
 import corpus_pipeline
 import pytest
 
-from curbflow.llm import bpe, exact_dedup, langid, line_dedup, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity
+from curbflow.llm import (
+    bpe, exact_dedup, langid, line_dedup, merkle, mixing, near_dedup, quality_model, quality_rules, secrets, toxicity, warc,
+)
 from curbflow.llm.registry import QUERIES
 
 SMALL = langid.Settings(per_language=20, epochs=1)
@@ -20,10 +22,12 @@ OPERATORS = {
     "tokens": lambda d: bpe.round_trip(d, bpe.default_path(), keep=tuple(d.columns)),
     "toxicity": lambda d: toxicity.tagged(d, toxicity.train(d, d.selectExpr("doc_id", "cast(label as int) as toxic"))),
     "statistics": lambda d: quality_model.scored(f := quality_model.described(d), quality_model.fit(f.selectExpr("*", "1 as label"))),
+    "manifest": merkle.manifest,
+    "archives": lambda d: warc.archived(d, id_col="doc_id", url_col="source", html_col="text"),
     "mixing": lambda d: mixing.sampled(mixing.weighed(d), mixing.Settings(sweeps=1)),
     "mixed": lambda d: mixing.mixed(d, mixing.Settings(sweeps=1)),
 }
-ONE_ROW_EACH = {"verdicts", "lines", "language", "ledger", "near", "secrets", "tokens", "toxicity", "statistics", "mixing"}
+ONE_ROW_EACH = {"verdicts", "lines", "language", "ledger", "near", "secrets", "tokens", "toxicity", "statistics", "mixing", "manifest", "archives"}
 SAME_COLUMNS = {"copies", "accepted", "near copies", "mixed"}
 
 
