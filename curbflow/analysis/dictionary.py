@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.analysis.findings import in_hours
-from curbflow.config import PAYMENT_LABELS
 from curbflow.functions import clock
 from curbflow.functions.labels import canonical_payment
 from curbflow.functions.measures import (
@@ -37,7 +36,6 @@ def tip_percentiles(metrics: DataFrame) -> DataFrame:
     return exact_quantiles(
         coded, ["code"],
         [Quantile(f"tip_{p}", tip, q) for p, q in {"p50": 0.5, **TAIL}.items()],
-        group_bound=len(PAYMENT_LABELS) + 1,
     ).withColumnRenamed("code", "payment_type")
 
 
@@ -56,7 +54,7 @@ def valid_payment_metrics(metrics: DataFrame) -> DataFrame:
     """Valid trips, their median fare and mean recorded tip by canonical payment type."""
     valid = metrics.where("is_revenue_valid").withColumn("code", canonical_payment(F.col("payment_type")))
     medians = exact_quantiles(
-        valid, ["code"], [Quantile("median_valid_fare", F.col("fare_amount"))], group_bound=len(PAYMENT_LABELS) + 1
+        valid, ["code"], [Quantile("median_valid_fare", F.col("fare_amount"))]
     )
     means = valid.groupBy("code").agg(rows().alias("valid_trips"), F.avg("tip_amount").alias("avg_valid_tip"))
     return with_quantiles(means, "code", medians).withColumnRenamed("code", "payment_type")

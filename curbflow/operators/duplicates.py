@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions.measures import rows
-from curbflow.session import kept
+from curbflow.operators.bits import filter_of_hashes, rows_with_bit
 
 
-def duplicate_groups(df: DataFrame, keys: list[str], count_name: str = "row_count") -> DataFrame:
+def duplicate_groups(
+    df: DataFrame, keys: list[str], count_name: str = "row_count", hash_of: Callable[..., Column] = F.xxhash64
+) -> DataFrame:
     """Key groups occurring more than once, with their row count.
 
-    A 64-bit hash of the key is counted first (16 bytes per row cross the network instead of the
-    whole key, and map-side combining absorbs hot keys). Only rows whose hash repeats are grouped
-    by the real key, so a hash collision costs time but never changes the answer. The repeated
-    hashes are kept when first computed: Spark then knows their size, broadcasts them when they are
-    few, as they usually are, and shuffles otherwise.
+    A 64-bit hash of the key is counted first (8 bytes per row cross the network instead of the
+    whole key, and map-side combining absorbs hot keys). Hashes seen twice set a bit in a filter of
+    fixed size, built by a mergeable aggregate; the second scan keeps the rows whose bit is set and
+    groups them by the real key. Hash collisions and shared bits cost time but never change the answer.
     """
-    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
-    repeated = hashed.groupBy("_h").agg(rows().alias("_n")).where(F.col("_n") > 1).select("_h")
-    suspects = kept(repeated)
-    return (
-        hashed.join(suspects, "_h", "left_semi")
-        .groupBy(*keys)
-        .agg(rows().alias(count_name))
-        .where(F.col(count_name) > 1)
-    )
+    keyed = df.select(*keys)
+    hashes = keyed.select(hash_of(*keys).alias("_h"))
+    repeated = hashes.groupBy("_h").agg(rows().alias("_n")).where(F.col("_n") > 1)
+    suspects = rows_with_bit(keyed, filter_of_hashes(repeated), keys, hash_of)
+    return suspects.groupBy(*keys).agg(rows().alias(count_name)).where(F.col(count_name) > 1)
 
 
 def duplicate_row_count(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
