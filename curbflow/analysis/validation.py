@@ -60,19 +60,12 @@ def expected_row_counts(w: Warehouse, expected: Mapping[str, int | DataFrame]) -
 
 def layer_reconciliation(w: Warehouse) -> DataFrame:
     """Trips survive every layer: each layer's total equals the staged row count."""
-    totals = side_by_side(
-        _count(w.inputs.taxi_trips, "staged"),
-        _count(w.trips_clean, "clean"),
-        _count(w.trip_metrics, "metrics"),
-        _total(w.hourly_taxi_demand, "trip_count", "demand"),
-        _total(w.hourly_mobility, "trip_count", "mobility"),
-        _total(w.hourly_mobility_summary, "taxi_trip_count", "summary"),
-        _total(w.od_flow, "trips", "od"),
-        _total(w.airport_metrics, "total_trips", "airport_categories"),
-        _total(w.fare_payment_metrics, "total_trips", "payment_codes"),
+    totals = w.measured(
+        "staged", "trips_clean", "trip_metrics", "hourly_taxi_demand", "hourly_mobility", "hourly_mobility_summary",
+        "od_flow", "airport_metrics", "fare_payment_metrics",
     )
-    staged = F.col("staged")
-    return _verdicts(totals, {f"staged_to_{c}": (staged, F.col(c)) for c in totals.columns[1:]})
+    layers = ("clean", "metrics", "demand", "mobility", "summary", "od", "airport_categories", "payment_codes")
+    return _verdicts(totals, {f"staged_to_{c}": (F.col("staged"), F.col(c)) for c in layers})
 
 
 # Relation -> declared grain.
@@ -115,24 +108,17 @@ def duplicate_trips(w: Warehouse, key: tuple[str, ...] = TRIP_KEY) -> DataFrame:
     return duplicate_groups(w.trip_metrics, list(key))
 
 
-def _domain_counts(metrics: DataFrame) -> DataFrame:
-    return metrics.agg(
-        count_where(F.col("trip_duration_minutes") <= 0).alias("non_positive_minutes"),
-        count_where(F.col("trip_speed_mph") < 0).alias("negative_speed"),
-        count_where(F.col("tip_percentage") < 0).alias("negative_tip_share"),
-        count_where(F.col("is_revenue_valid") & (F.col("total_amount") < 0)).alias("negative_valid_revenue"),
-    )
+# Counts of values outside their domain.
+DOMAIN_COUNTS = (
+    "non_positive_minutes", "negative_speed", "negative_tip_share", "negative_valid_revenue", "negative_zone_trips",
+    "unmapped_zone_rows", "non_positive_od_trips",
+)
 
 
 def domain_checks(w: Warehouse) -> DataFrame:
     """Values outside their domain, per rule; zero is expected everywhere."""
-    zones = w.zone_performance.agg(
-        count_where((F.col("pickup_trips") < 0) | (F.col("dropoff_trips") < 0)).alias("negative_zone_trips"),
-        count_where(F.col("zone").isNull()).alias("unmapped_zone_rows"),
-    )
-    od = w.od_flow.agg(count_where(F.col("trips") <= 0).alias("non_positive_od_trips"))
-    found = side_by_side(_domain_counts(w.trip_metrics), zones, od)
-    return _verdicts(found, {c: (F.lit(0), F.col(c)) for c in found.columns})
+    found = w.measured("trip_metrics", "zone_performance", "od_flow")
+    return _verdicts(found, {c: (F.lit(0), F.col(c)) for c in DOMAIN_COUNTS})
 
 
 def spine_coverage(w: Warehouse) -> DataFrame:
@@ -141,7 +127,7 @@ def spine_coverage(w: Warehouse) -> DataFrame:
     hourly = {
         "weather": w.inputs.weather_hourly.select("timestamp_hour"),
         "subway": w.inputs.subway_hourly.select("timestamp_hour"),
-        "taxi": w.trips_clean.select(F.col("pickup_hour").alias("timestamp_hour")).distinct(),
+        "taxi": w.hourly_taxi_demand.select(F.col("pickup_hour").alias("timestamp_hour")).distinct(),
     }
     counts = [
         part
@@ -181,9 +167,9 @@ def spine_gaps(spine: DataFrame) -> DataFrame:
 def quality_suite(w: Warehouse) -> DataFrame:
     """The fifteen warehouse tests as (test_id, test_name, passed)."""
     layers = side_by_side(
-        _count(w.inputs.taxi_trips, "staged"),
-        _count(w.trips_clean, "clean"),
-        _count(w.trip_metrics, "metrics"),
+        w.measured(
+            "staged", "trips_clean", "trip_metrics", "hourly_taxi_demand", "hourly_mobility", "hourly_mobility_summary"
+        ),
         _count(duplicate_trips(w), "duplicate_groups"),
         _unmapped(w.od_flow, "pickup", w.zones, "unmapped_pickup"),
         _unmapped(w.od_flow, "dropoff", w.zones, "unmapped_dropoff"),
@@ -192,14 +178,7 @@ def quality_suite(w: Warehouse) -> DataFrame:
             count_where(F.col("temperature_2m").isNull()).alias("no_weather"),
             count_where(F.col("total_ridership").isNull()).alias("no_subway"),
         ),
-        _total(w.hourly_taxi_demand, "trip_count", "demand"),
-        _total(w.hourly_mobility, "trip_count", "mobility"),
-        w.hourly_mobility_summary.agg(
-            F.coalesce(F.sum("taxi_trip_count"), F.lit(0)).alias("summary"),
-            rows().alias("summary_rows"),
-            F.count_distinct("pickup_hour").alias("summary_hours"),
-        ),
-        _domain_counts(w.trip_metrics),
+        w.hourly_mobility_summary.agg(F.count_distinct("pickup_hour").alias("summary_hours")),
     )
     c = F.col
     tests = [
@@ -238,18 +217,16 @@ def enforce_suite(results: DataFrame) -> None:
 def mart_reconciliation(w: Warehouse) -> DataFrame:
     """Seven cross-mart checks as (check_name, expected, actual, status), values as text."""
     totals = side_by_side(
-        _count(w.inputs.taxi_trips, "staged"),
-        _count(w.trips_clean, "clean"),
-        _count(w.trip_metrics, "metrics"),
-        _total(w.fare_payment_analysis, "trips", "payment"),
-        _total(w.temporal_demand, "taxi_trip_count", "temporal"),
-        _total(w.geographic_performance, "pickup_trips", "pickups"),
+        w.measured(
+            "staged", "trips_clean", "trip_metrics", "executive_mobility", "fare_payment_analysis", "temporal_demand",
+            "geographic_performance",
+        ),
         w.data_quality_metrics.select(F.col("warehouse_quality_status").alias("status_found")),
     )
     checks = {
         "staging_to_clean_rows": ("staged", "clean"),
         "clean_to_trip_metrics_rows": ("clean", "metrics"),
-        "trip_metrics_to_total_trips": ("metrics", "metrics"),
+        "trip_metrics_to_total_trips": ("metrics", "kpi_trips"),
         "payment_mart_to_total_trips": ("metrics", "payment"),
         "temporal_mart_to_total_trips": ("metrics", "temporal"),
         "geographic_pickups_to_total_trips": ("metrics", "pickups"),
@@ -272,23 +249,11 @@ def mart_reconciliation(w: Warehouse) -> DataFrame:
 
 def post_conditions(w: Warehouse) -> DataFrame:
     """Conditions each analytical relation must meet once built."""
-    payments = w.fare_payment_metrics.agg(
-        rows().alias("payment_rows"), count_where(F.col("total_revenue") < 0).alias("negative_payment_revenue")
-    )
-    airports = w.airport_metrics.agg(
-        rows().alias("airport_rows"),
-        F.sum(F.when(F.col("airport_category") != "Non-Airport", F.col("total_trips"))).alias("airport_mart_trips"),
-        count_where(F.col("total_revenue") < 0).alias("negative_airport_revenue"),
-    )
-    weather = w.weather_mobility_metrics.agg(
-        rows().alias("weather_rows"),
-        F.count_distinct("pickup_hour").alias("weather_hours"),
-        count_where(F.col("is_raining").isNull() & F.col("precipitation").isNotNull()).alias("bad_rain_flags"),
-    )
     found = side_by_side(
-        payments, airports, weather,
-        _count(w.hourly_mobility_summary, "summary_rows"),
-        w.trip_metrics.agg(count_where(F.col("is_airport_trip")).alias("airport_trips")),
+        w.measured(
+            "fare_payment_metrics", "airport_metrics", "weather_mobility_metrics", "hourly_mobility_summary", "trip_metrics"
+        ),
+        w.weather_mobility_metrics.agg(F.count_distinct("pickup_hour").alias("weather_hours")),
         w.data_quality_metrics.agg(
             rows().alias("quality_rows"),
             count_where(F.col("warehouse_quality_status") == "PASS").alias("quality_pass"),

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.functions.measures import count_where, percent, round_half_even, rows
-from curbflow.operators.shaping import as_struct, side_by_side
 
 # Preset windows and the days each one reaches back, the last day included.
 DATE_PRESETS = {"Full period": None, "Past week": 7, "Past month": 30, "Past 3 months": 90}
@@ -34,8 +33,9 @@ def filter_preset(df: DataFrame, preset: str) -> DataFrame:
     days = DATE_PRESETS[preset]
     if days is None:
         return df
-    first_day = df.agg(F.date_sub(F.max("calendar_date"), days - 1)).scalar()
-    return df.where(F.col("calendar_date") >= first_day)
+    # the marts listed here have one row per hour of the period, so the latest day can ride along
+    last = F.max("calendar_date").over(Window.partitionBy())
+    return df.withColumn("_last", last).where(F.col("calendar_date") >= F.date_sub("_last", days - 1)).drop("_last")
 
 
 def filter_dates(df: DataFrame, start: date | None, end: date | None) -> DataFrame:
@@ -117,17 +117,16 @@ def low_activity_zones(view: DataFrame) -> DataFrame:
 
 def geography_kpis(view: DataFrame) -> DataFrame:
     lowest_id = -F.col("location_id")
-    leaders = view.agg(
+    # one row per zone, so its place in the ranking can be a column
+    place = F.row_number().over(Window.orderBy(F.desc("total_zone_activity"), "location_id"))
+    return view.withColumn("_place", place).agg(
         F.max_by("zone", F.struct("total_zone_activity", lowest_id)).alias("top_activity_zone"),
         F.max("total_zone_activity").alias("top_activity"),
         F.max_by("zone", F.struct("total_zone_revenue", lowest_id)).alias("top_revenue_zone"),
         F.max("total_zone_revenue").alias("top_revenue"),
         count_where(F.col("below_median_activity_indicator")).alias("low_activity_zones"),
+        F.sum(F.when(F.col("_place") <= 10, F.col("zone_activity_contribution_pct"))).alias("top_10_activity_share_pct"),
     )
-    top_ten = top_zones(view, 10).agg(
-        F.sum("zone_activity_contribution_pct").alias("top_10_activity_share_pct")
-    )
-    return side_by_side(leaders, top_ten)
 
 
 def payment_view(payments: DataFrame, label: str | None = None) -> DataFrame:
@@ -162,14 +161,13 @@ def weather_evidence(view: DataFrame) -> DataFrame:
     evidence = view.groupBy("precipitation_category").agg(
         rows().alias("hours"), F.max("category_avg_taxi_trips").alias("category_avg_taxi_trips")
     )
-    dry = evidence.agg(
-        F.max(F.when(F.col("precipitation_category") == "Dry", F.col("category_avg_taxi_trips"))).alias("mean")
-    )
     mean = F.col("category_avg_taxi_trips")
+    # a handful of categories: the dry one is looked up among them
+    dry = F.max(F.when(F.col("precipitation_category") == "Dry", mean)).over(Window.partitionBy())
     return (
-        evidence.withColumn("dry", as_struct(dry))
-        .withColumn("vs_dry_pct", percent(mean - F.col("dry.mean"), F.col("dry.mean")))
-        .drop("dry")
+        evidence.withColumn("_dry", dry)
+        .withColumn("vs_dry_pct", percent(mean - F.col("_dry"), F.col("_dry")))
+        .drop("_dry")
         .orderBy(F.desc("hours"), "precipitation_category")
     )
 
@@ -184,23 +182,23 @@ MAP_METRICS = {
 def map_values(geo: DataFrame, metric: str) -> DataFrame:
     """Value shown per zone: winsorised at 2% and 98% of the positive values when more than ten
     zones have one, or a 0/1 mark of below-median activity."""
+    zones = Window.partitionBy()  # one row per zone
     if metric == "Low-Activity Zones":
-        median = geo.agg(F.median("total_zone_activity")).scalar()
         activity = F.col("total_zone_activity")
-        return geo.select(
+        marked = geo.withColumn("_median", F.median(activity).over(zones))
+        return marked.select(
             "location_id",
-            F.coalesce((activity < median) & (activity > 0), F.lit(False)).cast("double").alias("map_value"),
+            F.coalesce((activity < F.col("_median")) & (activity > 0), F.lit(False)).cast("double").alias("map_value"),
         )
     shown = geo.select("location_id", F.coalesce(F.col(MAP_METRICS[metric]).cast("double"), F.lit(0.0)).alias("v"))
     positive = F.when(F.col("v") > 0, F.col("v"))
-    limits = shown.agg(
-        F.count(positive).alias("n"),
-        F.percentile(positive, 0.02).alias("lower"),
-        F.percentile(positive, 0.98).alias("upper"),
-    )
-    lower, upper = F.col("limits.lower"), F.col("limits.upper")
+    limits = {
+        "n": F.count(positive).over(zones),
+        "lower": F.percentile(positive, 0.02).over(zones),
+        "upper": F.percentile(positive, 0.98).over(zones),
+    }
+    lower, upper = F.col("lower"), F.col("upper")
     clipped = F.least(F.greatest(F.col("v"), lower), upper)
-    return shown.withColumn("limits", as_struct(limits)).select(
-        "location_id",
-        F.when((F.col("limits.n") > 10) & (upper > lower), clipped).otherwise(F.col("v")).alias("map_value"),
+    return shown.withColumns(limits).select(
+        "location_id", F.when((F.col("n") > 10) & (upper > lower), clipped).otherwise(F.col("v")).alias("map_value")
     )

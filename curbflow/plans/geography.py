@@ -99,35 +99,31 @@ def zone_performance(metrics: DataFrame, zones: DataFrame) -> DataFrame:
 def geographic_performance(zone_perf: DataFrame) -> DataFrame:
     """Ranks and market shares per zone.
 
-    The ranks order all zones, so that window runs in one task; its input is one row per zone
-    (the zone table's size), never trips.
+    The ranks and totals look at all zones, so these windows run in one task; their input is one row
+    per zone (the zone table's size), never trips, and is computed once.
     """
-    market = zone_perf.agg(
-        F.struct(
-            F.sum("total_zone_activity").alias("activity"),
-            F.sum("total_zone_revenue").alias("revenue"),
-            F.median("total_zone_activity").alias("median_activity"),
-        ).alias("market")
-    )
+    market = Window.partitionBy()
     activity, revenue = F.col("total_zone_activity"), F.col("total_zone_revenue")
     by_activity, by_revenue = Window.orderBy(activity.desc()), Window.orderBy(revenue.desc())
-    below = activity < F.col("market.median_activity")
+    below = activity < F.col("median_activity")
     return (
         zone_perf.withColumns(
             {
                 "activity_rank": F.rank().over(by_activity),
                 "revenue_rank": F.rank().over(by_revenue),
                 "activity_percentile": F.percent_rank().over(Window.orderBy(activity)),
-                "market": market.scalar(),
+                "market_activity": F.sum(activity).over(market),
+                "market_revenue": F.sum(revenue).over(market),
+                "median_activity": F.median(activity).over(market),
             }
         )
         .withColumns(
             {
-                "zone_activity_contribution_pct": percent(activity, F.col("market.activity")),
-                "zone_revenue_contribution_pct": percent(revenue, F.col("market.revenue")),
+                "zone_activity_contribution_pct": percent(activity, F.col("market_activity")),
+                "zone_revenue_contribution_pct": percent(revenue, F.col("market_revenue")),
                 "below_median_activity_indicator": F.coalesce(below & (activity > 0), F.lit(False)),
                 "activity_segment": F.when(below, "Below Median Activity").otherwise("At/Above Median Activity"),
             }
         )
-        .drop("market")
+        .drop("market_activity", "market_revenue", "median_activity")
     )

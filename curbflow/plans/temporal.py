@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.functions.measures import count_where, percent, rows, sum_where_or_zero
 from curbflow.operators.quantiles import Quantile, exact_quantiles
-from curbflow.operators.shaping import as_struct, side_by_side
+from curbflow.operators.shaping import side_by_side
 
 
 def _trip_totals(metrics: DataFrame) -> DataFrame:
@@ -46,29 +46,30 @@ def _trip_totals(metrics: DataFrame) -> DataFrame:
     return side_by_side(totals, medians)
 
 
-def peak_hour(summary: DataFrame) -> DataFrame:
-    """Hour of day with the highest mean demand; the earlier hour wins a tie."""
-    return (
-        summary.groupBy("hour_of_day")
-        .agg(F.avg("taxi_trip_count").alias("peak_hour_trips"))
-        .orderBy(F.desc("peak_hour_trips"), "hour_of_day")
-        .limit(1)
-        .select(F.col("hour_of_day").alias("peak_hour"), "peak_hour_trips")
+def _hour_and_day_figures(summary: DataFrame) -> DataFrame:
+    """One row from one pass over the hours: hourly and daily levels and the hour of day with the highest mean demand
+    (the earlier hour wins a tie). Each hour carries its day's total and its hour of day's mean."""
+    demand = F.col("taxi_trip_count")
+    of_day, of_hour = Window.partitionBy("calendar_date"), Window.partitionBy("hour_of_day")
+    marked = summary.select(
+        "hour_of_day", demand,
+        F.avg(demand).over(of_hour).alias("hour_mean"),
+        F.when(F.row_number().over(of_day.orderBy("pickup_hour")) == 1, F.sum(demand).over(of_day)).alias("daily_trips"),
+    )
+    peak = F.max_by(F.struct("hour_of_day", "hour_mean"), F.struct("hour_mean", -F.col("hour_of_day")))
+    return marked.agg(
+        peak.alias("peak"),
+        F.avg(demand).alias("avg_hourly_trips"), F.stddev_samp(demand).alias("hourly_demand_stddev"),
+        F.avg("daily_trips").alias("avg_daily_trips"), F.stddev_samp("daily_trips").alias("daily_demand_stddev"),
+    ).select(
+        F.col("peak.hour_of_day").alias("peak_hour"), F.col("peak.hour_mean").alias("peak_hour_trips"),
+        "avg_hourly_trips", "hourly_demand_stddev", "avg_daily_trips", "daily_demand_stddev",
     )
 
 
 def executive_mobility(metrics: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of KPIs. The one-row parts are folded together, not joined."""
-    hour_stats = summary.agg(
-        F.avg("taxi_trip_count").alias("avg_hourly_trips"),
-        F.stddev_samp("taxi_trip_count").alias("hourly_demand_stddev"),
-    )
-    per_day = summary.groupBy("calendar_date").agg(F.sum("taxi_trip_count").alias("daily_trips"))
-    day_stats = per_day.agg(
-        F.avg("daily_trips").alias("avg_daily_trips"),
-        F.stddev_samp("daily_trips").alias("daily_demand_stddev"),
-    )
-    combined = side_by_side(_trip_totals(metrics), peak_hour(summary), hour_stats, day_stats)
+    combined = side_by_side(_trip_totals(metrics), _hour_and_day_figures(summary))
     return combined.withColumns(
         {
             "airport_share_pct": percent(F.col("airport_trips"), F.col("total_trips")),
@@ -87,39 +88,31 @@ TEMPORAL_BASE = (
 
 
 def temporal_demand(summary: DataFrame) -> DataFrame:
-    """Each hour beside its hour-of-day and weekday profiles and the overall demand level."""
-    base, demand = summary.select(*TEMPORAL_BASE), F.col("taxi_trip_count")
-    hour_profile = base.groupBy("hour_of_day").agg(
-        F.avg(demand).alias("hour_avg_trips"),
-        F.median(demand).alias("hour_median_trips"),
-        F.stddev_samp(demand).alias("hour_stddev_trips"),
-        F.sum(demand).alias("hour_total_trips"),
-        rows().alias("hour_observations"),
-    )
-    day_profile = base.groupBy("day_of_week", "is_weekend").agg(
-        F.avg(demand).alias("day_avg_trips"),
-        F.sum(demand).alias("day_total_trips"),
-        rows().alias("day_observations"),
-    )
-    overall = base.agg(
-        F.avg(demand).alias("overall_avg_hourly_demand"),
-        F.stddev_samp(demand).alias("overall_stddev_hourly_demand"),
-        F.max(demand).alias("overall_max_hourly_demand"),
-    )
-    joined = base.join(hour_profile, "hour_of_day", "left").join(
-        day_profile, ["day_of_week", "is_weekend"], "left"
-    )
-    mean = F.col("overall_avg_hourly_demand")
-    profile = [c for c in (*hour_profile.columns[1:], *day_profile.columns[2:])]
-    return (
-        joined.select(*TEMPORAL_BASE, *profile, as_struct(overall).alias("overall"))
-        .select(*TEMPORAL_BASE, *profile, "overall.*")
-        .withColumns(
-            {
-                "demand_index_pct": F.when(mean > 0, percent(demand, mean)),
-                "overall_demand_cv_pct": F.when(
-                    mean > 0, percent(F.col("overall_stddev_hourly_demand"), mean)
-                ),
-            }
-        )
+    """Each hour beside its hour-of-day and weekday profiles and the overall demand level.
+
+    The windows see one row per hour of the period, so each hour carries its profiles without a second pass."""
+    demand = F.col("taxi_trip_count")
+    of_hour, of_day = Window.partitionBy("hour_of_day"), Window.partitionBy("day_of_week", "is_weekend")
+    overall, mean = Window.partitionBy(), F.col("overall_avg_hourly_demand")
+    # a NULL in the weekday pair matches no profile
+    known_day = lambda value: F.when(F.col("day_of_week").isNotNull() & F.col("is_weekend").isNotNull(), value)
+    known_hour = lambda value: F.when(F.col("hour_of_day").isNotNull(), value)
+    return summary.select(
+        *TEMPORAL_BASE,
+        known_hour(F.avg(demand).over(of_hour)).alias("hour_avg_trips"),
+        known_hour(F.median(demand).over(of_hour)).alias("hour_median_trips"),
+        known_hour(F.stddev_samp(demand).over(of_hour)).alias("hour_stddev_trips"),
+        known_hour(F.sum(demand).over(of_hour)).alias("hour_total_trips"),
+        known_hour(rows().over(of_hour)).alias("hour_observations"),
+        known_day(F.avg(demand).over(of_day)).alias("day_avg_trips"),
+        known_day(F.sum(demand).over(of_day)).alias("day_total_trips"),
+        known_day(rows().over(of_day)).alias("day_observations"),
+        F.avg(demand).over(overall).alias("overall_avg_hourly_demand"),
+        F.stddev_samp(demand).over(overall).alias("overall_stddev_hourly_demand"),
+        F.max(demand).over(overall).alias("overall_max_hourly_demand"),
+    ).withColumns(
+        {
+            "demand_index_pct": F.when(mean > 0, percent(demand, mean)),
+            "overall_demand_cv_pct": F.when(mean > 0, percent(F.col("overall_stddev_hourly_demand"), mean)),
+        }
     )

@@ -144,7 +144,11 @@ CARRIED = (
 
 
 def trip_metrics(clean: DataFrame, config: MobilityConfig = DEFAULT) -> DataFrame:
-    """Per-trip economics. A ratio is NULL when one of its inputs is not valid."""
+    return with_economics(clean.select(*CARRIED), config)
+
+
+def with_economics(clean: DataFrame, config: MobilityConfig = DEFAULT) -> DataFrame:
+    """Clean trips and their economics. A ratio is NULL when one of its inputs is not valid."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     fare, total, tip = F.col("fare_amount"), F.col("total_amount"), F.col("tip_amount")
     miles = F.col("trip_distance")
@@ -154,8 +158,7 @@ def trip_metrics(clean: DataFrame, config: MobilityConfig = DEFAULT) -> DataFram
     from_airport = F.coalesce(F.col("pickup_location_id").isin(*config.airport_zones), F.lit(False))
     to_airport = F.coalesce(F.col("dropoff_location_id").isin(*config.airport_zones), F.lit(False))
     return (
-        clean.select(*CARRIED)
-        .withColumns(
+        clean.withColumns(
             {
                 "has_positive_duration": F.coalesce(dropoff > pickup, F.lit(False)),
                 "is_tipped": F.coalesce(tip > 0, F.lit(False)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -14,10 +16,10 @@ from curbflow.config import Period
 from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
-from curbflow.session import kept
+from curbflow.session import scratch_dir
 from curbflow.sources import fixtures, manifest, staging
 from curbflow.stats import design, gram, models
-from curbflow.warehouse import LAYERS, WAVES, Warehouse
+from curbflow.warehouse import LAYERS, Warehouse, with_sources
 
 # Doubles are rounded once, on the final rows, so that two engines' summation orders agree. The
 # nudge moves exact ties (common in quotients by powers of two) off the rounding boundary.
@@ -36,42 +38,29 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, fixtures.staged(spark, sf_dir))
 
 
-# Aggregated layers that a query reads more than once. They and the staged trips below them are kept,
-# so that the source tables are read and joined once per query, when its first action runs.
-_DEMAND, _SUMMARY = "hourly_taxi_demand", "hourly_mobility_summary"
+# Layers that a validation looks at. They are written first, as a build does, and report what the checks ask for while
+# they are written; small layers are then read back.
+_DEMAND, _SUMMARY, _MOBILITY = "hourly_taxi_demand", "hourly_mobility_summary", "hourly_mobility"
 _ZONES, _PAIRS = "zone_performance", "od_flow"
-KEPT_LAYERS: dict[str, tuple[str, ...]] = {
-    **dict.fromkeys(
-        ("executive_mobility", "temporal_demand", "temporal_filtered_summary", "temporal_extremes", "weather_evidence"),
-        (_SUMMARY,),
-    ),
-    **dict.fromkeys(
-        ("geographic_performance", "geography_top_zones", "geography_low_activity", "geography_kpis",
-         "geography_borough_view", "map_values_revenue", "map_values_low_activity"),
-        (_ZONES,),
-    ),
-    "data_quality_metrics": (_SUMMARY, _ZONES, _PAIRS),
+_MARTS = ("executive_mobility", "fare_payment_analysis", "temporal_demand", "geographic_performance")
+BUILT_LAYERS: dict[str, tuple[str, ...]] = {
     "validate_domains": (_ZONES, _PAIRS),
-    "validate_layers": (_DEMAND, _SUMMARY),
-    "validate_grains": (_DEMAND, _SUMMARY, _ZONES, _PAIRS, "fare_payment_metrics", "airport_metrics"),
+    "validate_layers": (_DEMAND, _MOBILITY, _SUMMARY, _PAIRS, "airport_metrics", "fare_payment_metrics"),
+    "validate_grains": tuple(validation.GRAINS),
     "validate_zone_mapping": (_PAIRS,),
-    "validate_suite": (_DEMAND, _SUMMARY, _PAIRS),
-    "validate_marts": (_DEMAND, _SUMMARY, _ZONES, _PAIRS),
-    "validate_metric_bounds": (_SUMMARY, _ZONES, _PAIRS),
-    "validate_post_conditions": (_DEMAND, _SUMMARY, _ZONES, _PAIRS),
+    "validate_suite": (_DEMAND, _MOBILITY, _SUMMARY, _PAIRS, "hourly_context"),
+    "validate_marts": (*_MARTS, "data_quality_metrics"),
+    "validate_metric_bounds": ("data_quality_metrics", "temporal_demand"),
+    "validate_post_conditions": (
+        "fare_payment_metrics", "airport_metrics", "weather_mobility_metrics", _SUMMARY, "data_quality_metrics",
+    ),
 }
 
 
-def with_kept(w: Warehouse, layers: tuple[str, ...]) -> Warehouse:
-    """The same warehouse, with its staged trips and the given layers computed once. Runs nothing itself."""
-    if not layers:
-        return w
-    once = w.with_staged_trips(kept(w.inputs.taxi_trips))
-    for wave in WAVES:
-        for name in wave:
-            if name in layers:
-                once.keep(name)
-    return once
+def written_layers(w: Warehouse, layers: tuple[str, ...]) -> Warehouse:
+    """The warehouse with the given layers and their sources written to a folder of its own."""
+    root = os.path.join(scratch_dir(w.spark), f"layers-{uuid.uuid4().hex}")
+    return w.build(root, with_sources(layers)) if layers else w
 
 
 QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {}
@@ -90,7 +79,7 @@ def query(name: str):
 def runnable() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name, fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            w = with_kept(open_warehouse(spark, sf_dir), KEPT_LAYERS.get(name, ()))
+            w = written_layers(open_warehouse(spark, sf_dir), BUILT_LAYERS.get(name, ()))
             return rounded(fn(w, sf_dir), COARSER.get(name, DIGITS))
 
         return run

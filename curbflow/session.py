@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for; skewed join partitions are split at run time.
@@ -54,12 +53,3 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """The same rows, computed once when first used and then read from the executors' disks.
-
-    Nothing runs here, no folder is left behind, and what a lost executor held is computed again. A
-    plan that is kept already is not kept twice.
-    """
-    return df.persist(StorageLevel.DISK_ONLY)

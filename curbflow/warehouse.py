@@ -6,11 +6,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from curbflow.config import DEFAULT, MobilityConfig
-from curbflow.plans import geography, hourly, payments, quality, regression_base, temporal, trips, weather
-from curbflow.session import kept
+from curbflow.operators.shaping import side_by_side
+from curbflow.plans import checks, geography, hourly, payments, quality, regression_base, temporal, trips, weather
 from curbflow.sources.staging import StagedInputs
 
 # Layers written together; each wave reads only the layers of earlier waves.
@@ -34,13 +34,55 @@ PARTITIONED_BY = {"trips_clean": "pickup_month", "hourly_mobility": "month_start
 CONCURRENT_WRITES = 4
 
 
+# Rows of a file of a partitioned layer at most.
+ROWS_PER_FILE = 4_000_000
+# What each relation is computed from, where a written layer is asked for alone.
+SOURCES = {
+    "trip_metrics": ("trips_clean",),
+    "hourly_context": ("hourly_spine",),
+    "hourly_taxi_demand": ("trips_clean",),
+    "hourly_mobility": ("hourly_taxi_demand", "hourly_context"),
+    "hourly_mobility_summary": ("hourly_taxi_demand", "hourly_context"),
+    "zone_performance": ("trip_metrics",),
+    "od_flow": ("trip_metrics",),
+    "fare_payment_metrics": ("trip_metrics",),
+    "airport_metrics": ("trip_metrics",),
+    "fare_payment_analysis": ("trip_metrics",),
+    "data_quality_anomalies": ("trips_clean",),
+    "weather_mobility_metrics": ("hourly_mobility_summary",),
+    "data_quality_metrics": (
+        "trips_clean", "trip_metrics", "hourly_spine", "hourly_mobility_summary", "zone_performance", "od_flow",
+    ),
+    "executive_mobility": ("trip_metrics", "hourly_mobility_summary"),
+    "temporal_demand": ("hourly_mobility_summary",),
+    "geographic_performance": ("zone_performance",),
+    "weather_transit_analysis": ("hourly_mobility_summary",),
+    "statistical_analysis": ("hourly_mobility_summary",),
+}
+
+
+def with_sources(layers: tuple[str, ...]) -> tuple[str, ...]:
+    """The layers and everything they are computed from."""
+    found: list[str] = []
+
+    def visit(name: str) -> None:
+        for source in SOURCES.get(name, ()):
+            visit(source)
+        if name not in found:
+            found.append(name)
+
+    for name in layers:
+        visit(name)
+    return tuple(found)
+
+
 def _write_layer(root: str, name: str, df: DataFrame) -> None:
+    """Each task writes its own rows, sorted by the partition column where there is one, in files of bounded size: the
+    rows cross no network. A partition value has as many files as tasks held it."""
+    writer = df.write.mode("overwrite")
     if name in PARTITIONED_BY:
-        # Rows of a partition value meet in as many files as their size asks for, not one per task.
-        column = PARTITIONED_BY[name]
-        df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(f"{root}/{name}")
-    else:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(PARTITIONED_BY[name])
+    writer.parquet(f"{root}/{name}")
 
 
 class Warehouse:
@@ -50,6 +92,7 @@ class Warehouse:
         self.spark, self.inputs, self.config = spark, inputs, config
         self.zones = inputs.taxi_zones
         self.written: set[str] = set()
+        self.observed: dict[str, dict[str, int | None]] = {}
 
     @cached_property
     def trips_clean(self) -> DataFrame:
@@ -143,24 +186,51 @@ class Warehouse:
         """The same warehouse over an already written staging table of trips."""
         return Warehouse(self.spark, replace(self.inputs, taxi_trips=staged_trips), self.config)
 
-    def keep(self, name: str) -> None:
-        """Compute this relation once, when it is first used; relations built later read the result."""
-        self.__dict__[name] = kept(getattr(self, name))
-        self.written.add(name)
+    def measured(self, *relations: str) -> DataFrame:
+        """One row with the measures of `plans.checks` of the relations: those observed when a layer was written are at
+        hand, the others are aggregated from their relation."""
+        known = {k: v for name in relations for k, v in self.observed.get(name, {}).items()}
+        schema = ", ".join(f"{k} bigint" for k in known)
+        parts = [self.spark.createDataFrame([tuple(known.values())], schema)] if known else []
+        for name in relations:
+            if name not in self.observed:
+                relation = self.inputs.taxi_trips if name == "staged" else getattr(self, name)
+                parts.append(relation.agg(*checks.aggregates(name)))
+        return side_by_side(*parts)
+
+    def _observing(self, name: str, observations: dict[str, Observation]) -> DataFrame:
+        """The relation, which reports its measures while it is written. Trips report theirs as they pass through the
+        staged, the clean and the derived form, so all trip measures come from the one write of the trips."""
+
+        def noted(df: DataFrame, relation: str) -> DataFrame:
+            if relation not in checks.MEASURES:
+                return df
+            observations[relation] = Observation(relation)
+            return df.observe(observations[relation], *checks.aggregates(relation))
+
+        df = getattr(self, name)
+        if name != "trips_clean":
+            return noted(df, name)
+        clean = noted(trips.taxi_trips_clean(noted(self.inputs.taxi_trips, "staged"), self.config), name)
+        return noted(trips.with_economics(clean, self.config), "trip_metrics").select(*df.columns)
 
     def build(self, root: str, layers: tuple[str, ...] = LAYERS) -> "Warehouse":
         """Full refresh: write the layers wave by wave and return a warehouse reading them.
 
         Later layers read the written parquet, so trips are derived once and a lost executor only
-        repeats work since the previous wave.
+        repeats work since the previous wave. What the checks need to know of a layer is observed by
+        its write.
         """
         built = Warehouse(self.spark, self.inputs, self.config)
         for wave in WAVES:
             frames = {name: getattr(built, name) for name in wave if name in layers}
+            observations: dict[str, Observation] = {}
+            watched = {name: built._observing(name, observations) for name in frames}
             with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-                list(pool.map(lambda item: _write_layer(root, *item), frames.items()))
+                list(pool.map(lambda item: _write_layer(root, *item), watched.items()))
             for name, df in frames.items():
                 built._use_table(name, f"{root}/{name}", df)
+            built.observed |= {name: dict(o.get) for name, o in observations.items()}
         return built
 
     def _use_table(self, name: str, path: str, like: DataFrame) -> None:
