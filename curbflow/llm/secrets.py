@@ -2,8 +2,8 @@
 
 Two first-order Markov models over characters, one of random strings and one of ordinary identifiers and words, are
 trained by counting character pairs of labelled samples. A candidate string is a secret if its log-likelihood ratio,
-or that of a contiguous part of it, reaches a limit. Everything on the path of the texts is an expression of Spark; the driver only turns pair counts (at most
-twice the square of the alphabet) into log ratios.
+or that of a contiguous part of it, reaches a limit. Everything on the path of the texts is an expression of Spark; the
+driver only turns pair counts (at most twice the square of the alphabet) into log ratios.
 """
 
 from __future__ import annotations
@@ -144,22 +144,73 @@ def scores_random(sample: Column, ratios: list[float], settings: Settings) -> Co
     return F.get(scored, F.lit(0))
 
 
-SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: Elements of a block of a running aggregate. Only a block's own results are appended to, so the work grows with the
+#: number of elements; the results of blocks are appended once a block.
+BLOCK = 256
 
 
-def spans_of(matches: str, gaps: str, kind: int, keep: str) -> Column:
-    """Spans of the matches with `keep` (an expression of the index i, from 0). `gaps` are the texts between them, so
-    positions are sums of lengths in code points."""
-    start = f"acc.at + length({gaps}[i])"
-    end = f"{start} + length({matches}[i])"
-    return F.expr(f"""
-        if(size({matches}) > 0, aggregate(
-            sequence(0, size({matches}) - 1),
-            named_struct('at', 0, 'out', cast(array() as {SPANS})),
-            (acc, i) -> named_struct(
-                'at', {end},
-                'out', if({keep}, array_append(acc.out, named_struct('start', {start}, 'kind', {kind}, 'end', {end})), acc.out)),
-            acc -> acc.out), cast(array() as {SPANS}))""")
+def let(value: Column, body) -> Column:
+    """body of a variable that holds value: in a lambda, a plain column may be worked out again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(items: Column, value, combine, zero: Column) -> Column:
+    """Per element of an array what `combine` makes of the values of the elements before it (`zero` for the first).
+
+    `combine` is associative with `zero` as its neutral element; values are longs."""
+    start = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("before"))
+
+    def fold(array: Column, of) -> Column:
+        return F.aggregate(
+            array, start,
+            lambda acc, x: F.struct(
+                combine(acc["at"], of(x)).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")
+            ),
+        )
+
+    def of_blocks(found: Column) -> Column:
+        starts = fold(found, lambda b: b["at"])["before"]
+        moved = lambda at: F.transform(found, lambda b, k: F.transform(b["before"], lambda v: combine(F.get(at, k), v)))
+        return let(starts, lambda at: F.flatten(moved(at)))
+
+    def blocks(xs: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(xs) / BLOCK) - 1, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: fold(F.slice(xs, b * BLOCK + 1, F.lit(BLOCK)), value))
+
+    return let(items, lambda xs: let(blocks(xs), of_blocks))
+
+
+def spans_of(matches: Column, gaps: Column, kind: int) -> Column:
+    """Spans (start, kind, end) of all matches, in their order. `gaps` are the texts between them, so positions are sums
+    of lengths in code points."""
+    sizes = let(gaps, lambda g: F.transform(matches, lambda m, i: F.struct(
+        F.length(F.get(g, i)).cast("long").alias("gap"), F.length(m).cast("long").alias("own")
+    )))
+    sums = lambda xs: running(xs, lambda x: x["gap"] + x["own"], lambda a, b: a + b, F.lit(0).cast("long"))
+    return let(sizes, lambda xs: F.zip_with(xs, sums(xs), lambda x, at: F.struct(
+        (at + x["gap"]).cast("int").alias("start"), F.lit(kind).alias("kind"), (at + x["gap"] + x["own"]).cast("int").alias("end")
+    )))
+
+
+def clear_of(base: Column, spans: Column) -> Column:
+    """Whether each of the spans (ordered, none overlapping another) overlaps no base span, in their order.
+
+    Both are laid out by start. A span is overlapped from the left if a base span before it ends after its start, and
+    from the right if the next base span starts before its end."""
+    random, far = KINDS.index("random"), 1 << 40
+    ends = lambda s: F.when(s["kind"] < random, s["end"]).otherwise(0).cast("long")
+    starts = lambda s: F.when(s["kind"] < random, s["start"]).otherwise(far).cast("long")
+
+    def marked(laid: Column) -> Column:
+        left = running(laid, ends, lambda a, b: F.greatest(a, b), F.lit(0).cast("long"))
+        right = F.reverse(running(F.reverse(laid), starts, lambda a, b: F.least(a, b), F.lit(far).cast("long")))
+        both = F.zip_with(left, right, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
+        return F.zip_with(laid, both, lambda s, x: F.struct(
+            (s["kind"] == random).alias("own"), ((x["left"] <= s["start"]) & (x["right"] >= s["end"])).alias("clear")
+        ))
+
+    found = let(F.sort_array(F.concat(base, spans)), marked)
+    return F.transform(F.filter(found, lambda x: x["own"]), lambda x: x["clear"])
 
 
 def scanned(docs: DataFrame, ratios: list[float], settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
@@ -167,11 +218,12 @@ def scanned(docs: DataFrame, ratios: list[float], settings: Settings = Settings(
     kinds. kind counts KINDS from 0. `added` holds candidates that look random and overlap no base span.
 
     Null texts count as empty and have no spans. If docs has columns of these names, the new ones get underscores in
-    front. Every text is scanned whole, and one text's spans are found in the row itself, without a shuffle."""
+    front. Every text is scanned whole, and one text's spans are found in the row itself, without a shuffle, in time that
+    grows with the text and its matches."""
     text = free_name(docs, "_scanned")
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
     names = {k: (free_name(docs, f"_{k}"), free_name(docs, f"_{k}_gaps"), free_name(docs, f"_{k}_spans")) for k in KINDS}
-    values, base, added = (free_name(docs, n) for n in ("_values", "base", "added"))
+    values, clear, base, added = (free_name(docs, n) for n in ("_values", "_clear", "base", "added"))
     rows = docs.withColumn(text, text_of(text_col))
     rows = rows.withColumns({names[k][0]: F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()})
     none = F.array().cast("array<string>")
@@ -181,19 +233,14 @@ def scanned(docs: DataFrame, ratios: list[float], settings: Settings = Settings(
     } | {
         values: F.when(F.size(names["assign"][0]) > 0, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))).otherwise(none),
     })
-    keeps = {"assign": f"length(`{values}`[i]) >= {LEAST_VALUE}", "access": "true", "hex": "true", "random": "true"}
-    rows = rows.withColumns({
-        names[k][2]: spans_of(f"`{names[k][0]}`", f"`{names[k][1]}`", n, keeps[k]) for n, k in enumerate(KINDS)
-    })
-    rows = rows.withColumn(base, F.sort_array(F.concat(*(names[k][2] for k in KINDS[:3]))))
-
-    def looks_random(span: Column) -> Column:
-        own = F.substr(F.col(text), span["start"] + 1, span["end"] - span["start"])
-        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])) & scores_random(
-            own, ratios, settings
-        )
-
-    rows = rows.withColumn(added, F.filter(names["random"][2], looks_random))
+    rows = rows.withColumns({names[k][2]: spans_of(F.col(names[k][0]), F.col(names[k][1]), n) for n, k in enumerate(KINDS)})
+    assigned = let(F.col(values), lambda v: F.filter(names["assign"][2], lambda s, i: F.length(F.get(v, i)) >= LEAST_VALUE))
+    rows = rows.withColumn(base, F.sort_array(F.concat(assigned, names["access"][2], names["hex"][2])))
+    rows = rows.withColumn(clear, clear_of(F.col(base), F.col(names["random"][2])))
+    taken = let(F.struct(F.col(clear).alias("clear"), F.col(names["random"][0]).alias("own")), lambda v: F.filter(
+        names["random"][2], lambda s, i: F.get(v["clear"], i) & scores_random(F.get(v["own"], i), ratios, settings)
+    ))
+    rows = rows.withColumn(added, taken)
     return rows.select(*docs.columns, base, added)
 
 
