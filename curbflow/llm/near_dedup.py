@@ -20,12 +20,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm import heavy
 from curbflow.llm.components import components
-from curbflow.llm.tables import table, text_of, written
+from curbflow.llm.tables import free_name, table, text_of, written
 
 #: Word hashes a task remembers; emptied when full.
 REMEMBERED = 500_000
@@ -101,9 +101,14 @@ class Shingler:
         return _mix(out ^ self.seeds).view(np.int64)
 
 
+def text_key(text_col: str) -> Column:
+    """With the id it tells rows apart; rows that repeat both are the same document."""
+    return F.unhex(F.sha2(text_of(text_col).cast("binary"), 256))
+
+
 def signatures(docs: DataFrame, settings: Settings, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, key, signature) of every row, in one pass: key is a 128-bit digest of the shingle set.
-    Without shingles key and signature are null."""
+    """(doc_id, text_key, n_shingles, key, signature) of every row, in one pass: key is a 128-bit digest of the shingle
+    set, text_key the digest of the text. Without shingles key and signature are null."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,12 +121,12 @@ def signatures(docs: DataFrame, settings: Settings, text_col: str = "text", id_c
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 signs.append(shingler.signature(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "key", "signature"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_shingles", "key", "signature"],
             )
 
-    return docs.select(F.col(id_col), text_of(text_col)).mapInArrow(
-        run, f"doc_id {id_type}, n_shingles long, key binary, signature array<long>"
+    return docs.select(F.col(id_col), text_of(text_col), text_key(text_col)).mapInArrow(
+        run, f"doc_id {id_type}, text_key binary, n_shingles long, key binary, signature array<long>"
     )
 
 
@@ -224,37 +229,39 @@ def straggler_links(posts: DataFrame, hubs: DataFrame, labels: DataFrame, sets:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, text_col: str, id_col: str) -> DataFrame:
-    """(node, n_shingles, signature, shingles) of the wanted classes, from the text of each one's first document."""
+    """(node, n_shingles, signature, shingles) of the wanted classes, one row each, from the text of each one's first
+    document (id, null as well, and text_key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(settings)
         for batch in batches:
             found = [shingler.shingles(t.as_py()) for t in batch.column(0)]
-            same = [xxhash.xxh3_128_digest(s.tobytes()) == k.as_py() for s, k in zip(found, batch.column(4), strict=True)]
-            rows = pa.RecordBatch.from_arrays(
-                [*batch.columns[1:4], pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["node", "n_shingles", "signature", "shingles"],
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"]
             )
-            yield rows.filter(pa.array(same, pa.bool_()))  # a doc_id may stand for several texts
 
-    texts = docs.select(F.col(id_col).alias("first_id"), text_of(text_col).alias("text"))
-    rows = texts.join(wanted, "first_id").select("text", "node", "n_shingles", "signature", "key")
-    found = rows.mapInArrow(run, "node long, n_shingles long, signature array<long>, shingles binary")
-    return found
+    first = wanted.select("node", F.col("first.id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), text_key(text_col).alias("text_key"))
+    rows = texts.join(first, (F.col("text_key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
+    sets = rows.select("text", "node").mapInArrow(run, "node long, shingles binary")
+    # rows that repeat the first document give its set again; it counts once
+    return sets.dropDuplicates(["node"]).join(wanted.select("node", "n_shingles", "signature"), "node")
 
 
 def grouped(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id of the documents that links
-    reach), kept (doc_id = component_id).
+    reach), kept, text_key. The document that stays is the one with the smallest doc_id, a null doc_id being larger than
+    all others, and of several with that doc_id the one with the smallest text_key.
 
-    Documents without words are linked with nothing and have themselves as component. Ties need no rule, as ids are
-    ordered; rows that repeat a doc_id are kept or dropped together. A null doc_id counts as larger than all others and
-    has itself as component only where its class has no other. No rows give no rows.
+    Documents without words are linked with nothing and stay. Rows that repeat both a doc_id and a text are one document;
+    rows that repeat a doc_id with another text are documents of their own. A component with null ids only has a null
+    component_id. No rows give no rows.
     """
     rows = written(signatures(docs, settings, text_col, id_col), "signatures")
     worded = rows.filter("n_shingles > 0")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_key"))
     classes = worded.groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
+        F.min(own).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     posts = written(postings(classes, settings), "postings")
@@ -265,30 +272,35 @@ def grouped(docs: DataFrame, settings: Settings = Settings(), text_col: str = "t
     labels = components(first, "hub")
     second = written(straggler_links(posts, hubs, labels, sets, settings), "straggler-links")
     final = components(first.unionByName(second), "near")
-    named = classes.join(final, "node", "left").select("key", "first_id", F.coalesce("label", "node").alias("label"))
-    least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    answers = written(named.join(least, "label").select("key", "component_id"), "class-components")
+    named = classes.join(final, "node", "left").select("key", "first", F.coalesce("label", "node").alias("label"))
+    least = named.groupBy("label").agg(F.min("first").alias("stays"))
+    answers = written(named.join(least, "label").select("key", "stays"), "class-components")
     # frequent classes get their answer by a broadcast of at most 1 / share rows, the others in a shuffle
     often = written(heavy.winners(worded.select("key"), F.lit(0)), "heavy-classes").select("key")
-    narrow = rows.select("doc_id", "n_shingles", "key")
+    narrow = rows.select("doc_id", "text_key", "n_shingles", "key")
     hot = narrow.join(F.broadcast(answers.join(F.broadcast(often), "key", "left_semi")), "key")
     rest = narrow.filter("key is not null").join(F.broadcast(often), "key", "left_anti").join(answers, "key")
-    bare = narrow.filter("key is null").withColumn("component_id", F.col("doc_id"))
+    bare = narrow.filter("key is null").withColumn("stays", own)
     return hot.unionByName(rest).unionByName(bare).select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
+        "doc_id", "n_shingles", F.col("stays.id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("stays.id")) & (F.col("text_key") == F.col("stays.text_key"))).alias("kept"),
+        "text_key",
     )
 
 
 def without_near_copies(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs whose document stays (the smallest doc_id of its group), with all their columns."""
-    dropped = grouped(docs, settings, text_col, id_col).filter("not kept").select(F.col("doc_id").alias("_dropped"))
-    dropped = written(dropped, "near-copies")
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    """The rows of docs whose document stays, with all their columns: see `grouped`. Rows are told apart by id and text,
+    so a text that is no near copy stays whatever other text has its id."""
+    gone = grouped(docs, settings, text_col, id_col).filter("not kept")
+    id_name, key_name, own = (free_name(docs, n) for n in ("_gone_id", "_gone_key", "_own_key"))
+    gone = written(gone.select(F.col("doc_id").alias(id_name), F.col("text_key").alias(key_name)).distinct(), "near-copies")
+    keyed = docs.withColumn(own, text_key(text_col))
+    match = (F.col(own) == F.col(key_name)) & F.col(id_col).eqNullSafe(F.col(id_name))
+    return keyed.join(gone, match, "left_anti").select(*docs.columns)
 
 
 CONTRACT = Settings(shingle=3, percent=85)
 
 
 def op5(spark: SparkSession, sf_dir: str, settings: Settings = CONTRACT) -> DataFrame:
-    return grouped(table(spark, sf_dir, "documents").select("doc_id", "text"), settings)
+    return grouped(table(spark, sf_dir, "documents").select("doc_id", "text"), settings).drop("text_key")
