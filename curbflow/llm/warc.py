@@ -43,6 +43,7 @@ class Settings:
     records: int = 20_000
     gap: int = 64 << 10
     span: int = 8 << 20
+    task: int = 64 << 20
     date: str = "1970-01-01T00:00:00Z"
 
 
@@ -227,7 +228,9 @@ _NAMES = [f.split()[0] for f in RECORD.split(", ")]
 def read_records(selected: DataFrame, settings: Settings = Settings(), payloads: bool = True) -> DataFrame:
     """The records of selected index rows: see RECORD. Rows that repeat a record give it as often. Without `payloads` that
     column is null, though sizes and digests are still those of the payloads read. No rows give no rows."""
-    ordered = selected.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    # tasks by the bytes they will fetch: the index rows themselves are far smaller
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    ordered = selected.select("archive", "offset", "length").repartitionByRange(total // settings.task + 1, "archive", "offset")
     ordered = ordered.sortWithinPartitions("archive", "offset")
     gap, span = settings.gap, settings.span
 
