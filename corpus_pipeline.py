@@ -32,8 +32,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose expected tokens have the tempered shares of sources, languages and topics."""
-    return mixing.mixed(docs)
+    """A sample with nine tenths of the tokens in expectation, in the tempered shares of sources, languages and topics.
+    Documents of cells whose rate exceeds 1 stand more than once."""
+    return mixing.mixed(docs, mixing.EXPECTED)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
