@@ -275,14 +275,16 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     """The columns `keep` with `ids`, the token ids of every whole text. Null and empty texts have none.
 
     Added tokens of the file that occur in a text become their ids. path: the tokenizer file, readable on every
-    executor."""
+    executor. Rows that repeat are encoded each for itself; no rows give no rows. If `keep` has a column `ids`, the new
+    one gets underscores in front."""
     kept = docs.select(*keep)
+    name = free_name(kept, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, ids in _encoded_groups(batches, path, len(keep)):
-            yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], names=[*keep, "ids"])
+            yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], names=[*keep, name])
 
-    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, extended(kept, "ids array<int>"))
+    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(run, extended(kept, f"`{name}` array<int>"))
 
 
 def text_of_ids(ids: list[int], tokens: list[bytes]) -> str:
@@ -295,21 +297,24 @@ def text_of_ids(ids: list[int], tokens: list[bytes]) -> str:
 
 
 def decoded(tokens: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id", "ids")) -> DataFrame:
-    """The columns `keep` with `decoded`, the text of the ids; added tokens stay. Null ids give an empty text."""
+    """The columns `keep` with `decoded`, the text of the ids; added tokens stay. Null ids give an empty text. If
+    `keep` has a column `decoded`, the new one gets underscores in front."""
     kept = tokens.select(*keep)
+    name = free_name(kept, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path).table
         for batch in batches:
             texts = [text_of_ids(value.as_py() or [], known) for value in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, name])
 
-    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, extended(kept, "decoded string"))
+    return tokens.select(*keep, F.col(ids_col).alias("_ids")).mapInArrow(run, extended(kept, f"`{name}` string"))
 
 
 def round_trip(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with `ids` and `decoded`, as `encoded` and `decoded` give them, with one Python worker for
-    both in each task. If `keep` has columns of these names, the new ones get underscores in front."""
+    both in each task. If `keep` has columns of these names, the new ones get underscores in front. Rows that repeat are
+    taken each for itself; no rows give no rows."""
     kept = docs.select(*keep)
     ids_name, text_name = free_name(kept, "ids"), free_name(kept, "decoded")
 

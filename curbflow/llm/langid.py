@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import extended, fold, table, text_of
+from curbflow.llm.tables import extended, fold, free_name, table, text_of
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -23,7 +23,6 @@ BUCKETS = 1 << BITS
 #: Code points taken at once; long texts are counted piece by piece, with pieces overlapping by the longest n-gram.
 PIECE = 1 << 18
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
@@ -157,7 +156,10 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           settings: Settings = Settings()) -> Model | None:
-    """A model of the languages that occur in docs; rows without a language teach nothing. None without any."""
+    """A model of the languages that occur in docs; rows without a language teach nothing. None without any.
+
+    Of rows that repeat an id and a language the smallest text is the example; without an id a row is counted in the
+    document frequencies only."""
     known = docs.select(id_col, text_col, lang_col).filter(F.col(lang_col).isNotNull())
     frequency = document_frequencies(known, text_col)
     if not frequency[BUCKETS]:
@@ -176,6 +178,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         .select("chosen")
     )
     sample = known.join(F.broadcast(chosen), F.col(id_col) == F.col("chosen"), "left_semi")
+    # rows that repeat an id and a language are one example: the sample stays within its bound
+    sample = sample.groupBy(lang_col, id_col).agg(F.min(text_col).alias(text_col))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +207,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
 
 
 def classify(text: str | None, model: Model | None) -> tuple[str, float]:
-    if not text or not LETTER.search(text) or model is None:
+    if not text or model is None or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     buckets, values = vector(text, model.idf)
     logits = (values @ model.weights[buckets] + model.bias) / model.temperature
@@ -215,11 +219,14 @@ def classify(text: str | None, model: Model | None) -> tuple[str, float]:
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with lang_pred and score (the calibrated probability of lang_pred), in one pass.
 
-    A text that is null or has no letter, and every text without a model, is `und` with score 0.
+    A text that is null or has no letter, and every text without a model, is `und` with score 0. Of equally likely
+    languages the first by name is taken. Rows that repeat are predicted each for itself; no rows give no rows. If `keep`
+    has columns of these names, the new ones get underscores in front.
     """
     kept = docs.select(*keep)
-    schema = extended(kept, "lang_pred string, score double")
-    passed = len(keep)
+    passed, raw = len(keep), free_name(docs, "_text")
+    names = [free_name(kept, n) for n in ("lang_pred", "score")]
+    schema = extended(kept, f"`{names[0]}` string, `{names[1]}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,10 +234,10 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:passed], pa.array([x for x, _ in found], pa.string()),
                  pa.array([x for _, x in found], pa.float64())],
-                names=[*keep, "lang_pred", "score"],
+                names=[*keep, *names],
             )
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(raw)).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -23,11 +23,13 @@ MISSING = "(none)"
 @dataclass(frozen=True)
 class Settings:
     """tempering: target shares are present shares to this power, by dimension (1 leaves a dimension as it is, 0 makes
-    its levels equal). sweeps: rounds over the three dimensions. seed: of the sample. expected: tokens of the sample in
+    its levels equal). sweeps: rounds over the three dimensions at most. tolerance: difference of a raked share from its
+    goal at which the rounds end. seed: of the sample. expected: tokens of the sample in
     expectation, as a share of the present tokens; without it the largest probability is 1."""
 
     tempering: tuple[tuple[str, float], ...] = (("source", 0.8), ("lang", 0.9), ("topic", 1.0))
     sweeps: int = 8
+    tolerance: float = 1e-12
     seed: str = "mix-1"
     expected: float | None = None
 
@@ -73,26 +75,43 @@ def tempered_targets(cells: DataFrame, settings: Settings) -> dict[str, DataFram
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int) -> DataFrame:
-    """cells with `raked`: their mass after so many sweeps, from their token totals. Each step scales the cells of a
-    level to the level's goal; sums are aggregated before they are joined back, so large levels meet in no task."""
+def margin_error(raked: DataFrame, goals: dict[str, DataFrame]) -> float:
+    """The largest difference of a level's share of the raked mass from its goal; 0 without mass."""
+    total = raked.agg(F.sum("raked")).first()[0] or 0.0
+    worst = 0.0
+    for name, goal in goals.items():
+        sums = raked.groupBy(F.col(name).alias("level")).agg(F.sum("raked").alias("mass"))
+        gap = F.abs(F.coalesce("mass", F.lit(0.0)) / F.lit(total or 1.0) - F.coalesce("goal", F.lit(0.0)))
+        worst = max(worst, sums.join(goal, "level", "full").agg(F.max(gap)).first()[0] or 0.0)
+    return worst if total else 0.0
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], settings: Settings) -> tuple[DataFrame, float]:
+    """cells with `raked`, their mass from their token totals, and the margin error that remains.
+
+    Each step scales the cells of a level to the level's goal; sums are aggregated before they are joined back, so large
+    levels meet in no task. The sweeps end at the tolerance. Targets that contradict each other never meet it: the last
+    dimension of a sweep is met then, and the error says by how much another is missed."""
     goals = {name: written(t, f"goals-{name}") for name, t in targets.items()}
-    now = written(cells.withColumn("raked", F.col("n_tokens").cast("double")), "raked")
-    for _ in range(sweeps):
+    now, error = written(cells.withColumn("raked", F.col("n_tokens").cast("double")), "raked"), 0.0
+    for _ in range(settings.sweeps):
         for name, goal in goals.items():
             sums = now.groupBy(F.col(name).alias("level")).agg(F.sum("raked").alias("mass"))
             factor = F.when(F.col("mass") > 0, F.col("goal") / F.col("mass")).otherwise(0.0)
             factors = sums.join(goal, "level").select(F.col("level").alias(name), factor.alias("factor"))
             now = now.join(factors, name).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor")
         now = written(now, "raked")  # once a sweep: the plan of a step holds that of the step before twice
-    return now
+        error = margin_error(now, goals)
+        if error <= settings.tolerance:
+            break
+    return now, error
 
 
 def cell_probabilities(cells: DataFrame, targets: dict[str, DataFrame], settings: Settings) -> DataFrame:
-    """(source, lang, topic, weight, probability): weight is raked over present share, probability the weight over the
+    """(source, lang, topic, weight, probability, margin_error): weight is raked over present share, probability the weight over the
     largest weight. With `expected` it is the expected copies of a document, which may exceed 1: weights average 1 over
     the present tokens, so `expected` times the weight. Cells without tokens have weight 0 and probability 0."""
-    raked = rake(cells, targets, settings.sweeps)
+    raked, error = rake(cells, targets, settings)
     ratio = F.when(F.col("n_tokens") > 0, F.col("raked") / F.col("n_tokens")).otherwise(0.0)
     rated = raked.withColumn("ratio", ratio)
     totals = rated.agg(F.sum("n_tokens").alias("tokens"), F.max("ratio").alias("largest"), F.sum("raked").alias("mass"))
@@ -101,7 +120,9 @@ def cell_probabilities(cells: DataFrame, targets: dict[str, DataFrame], settings
         probability = F.when(F.col("largest") > 0, F.col("ratio") / F.col("largest")).otherwise(0.0)
     else:
         probability = weight * F.lit(float(settings.expected))
-    return rated.join(F.broadcast(totals)).select(*DIMENSIONS, weight.alias("weight"), probability.alias("probability"))
+    return rated.join(F.broadcast(totals)).select(
+        *DIMENSIONS, weight.alias("weight"), probability.alias("probability"), F.lit(error).alias("margin_error")
+    )
 
 
 def place(id_col: Column, seed: str) -> Column:
@@ -117,7 +138,7 @@ def copies_of(rate: Column, at: Column) -> Column:
 
 
 def sampled(documents: DataFrame, settings: Settings = Settings(), targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """`weighed` rows with weight, probability and kept. Rows that repeat a doc_id share one decision if they share a
+    """`weighed` rows with weight, probability, margin_error (of the raking as a whole) and kept. Rows that repeat a doc_id share one decision if they share a
     cell. Documents without tokens are never kept where their cell has none. No rows give no rows. With `expected`,
     `copies` says how often a row is taken, and probability, the copies in expectation, may exceed 1."""
     cells = written(documents.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
@@ -161,7 +182,7 @@ DIGITS = 9
 
 def op10(spark: SparkSession, sf_dir: str, settings: Settings = Settings()) -> DataFrame:
     rows = written(weighed(table(spark, sf_dir, "documents")), "weighed")
-    return sampled(rows, settings).withColumns(
+    return sampled(rows, settings).drop("margin_error").withColumns(
         {"weight": F.round("weight", DIGITS), "probability": F.round("probability", DIGITS)}
     )
 

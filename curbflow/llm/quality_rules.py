@@ -191,7 +191,14 @@ def op4(spark: SparkSession, sf_dir: str, policy: Policy = STANDARD) -> DataFram
     )
 
 
-OP4_SQL = r"""
+def op4_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule does in each policy, over the ledger of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bits = ledger(docs, keep=("doc_id",)).select(F.col("ledger.failed").alias("failed"))
+    return ablations(bits, (BASE, STANDARD, LENIENT))
+
+
+_JUDGED = r"""
 with docs as (
     select doc_id, coalesce(text, '') as text,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
@@ -220,8 +227,16 @@ with docs as (
 ), judged as (
     select *, {bits} as failed_bits from measured
 )
+""".replace("{bits}", " + ".join(f"case when {test} then {BIT[name]} else 0 end" for name, test in RULES))
+OP4_SQL = _JUDGED + """
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
        failed_bits = 0 as kept, failed_bits
 from judged
-""".replace("{bits}", " + ".join(f"case when {test} then {BIT[name]} else 0 end" for name, test in RULES))
+"""
+OP4_ABLATIONS_SQL = _JUDGED + " union all ".join(
+    f"""select '{p.version}' as policy, '{r}' as rule, count(*) filter (failed_bits & {BIT[r]} <> 0) as fails,
+       count(*) filter (failed_bits & {p.mask} = {BIT[r]}) as alone, count(*) filter (failed_bits & {p.mask} <> 0) as rejected,
+       count(*) filter (failed_bits & {p.mask & ~BIT[r]} <> 0) as rejected_without from judged"""
+    for p in (BASE, STANDARD, LENIENT) for r in p.rules
+)

@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mixing": mixing.op10,
     "op10_source_mixing_expected": mixing.op10_expected,
     "op2_line_dedup_whole": line_dedup.op2_whole,
+    "op4_quality_rules_ablations": quality_rules.op4_ablations,
     "op11_warc": warc.op11,
     "op12_merkle_manifest": merkle.op12,
     "op13_lexical_search": lexical.op13,
@@ -34,6 +35,7 @@ ORACLES: dict[str, str] = {
     "op10_source_mixing": mixing.OP10_SQL,
     "op10_source_mixing_expected": mixing.OP10_EXPECTED_SQL,
     "op2_line_dedup_whole": line_dedup.OP2_WHOLE_SQL,
+    "op4_quality_rules_ablations": quality_rules.OP4_ABLATIONS_SQL,
     "op11_warc": warc.OP11_SQL,
     "op12_merkle_manifest": merkle.OP12_SQL,
     "op13_lexical_search": lexical.OP13_SQL,

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.tables import extended, fold, table, text_of, written
+from curbflow.llm.tables import extended, fold, free_name, table, text_of, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -272,15 +272,19 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings, text_col: str, id_col: str, label_col: str) -> DataFrame:
-    """(toxic, text) of the first per_class documents of each label by hash of the id."""
-    known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("chosen"), F.col(label_col).cast("int").alias("toxic"))
+    """(toxic, text) of the first per_class documents of each label by hash of the id. An id with both labels teaches
+    nothing; of rows that repeat an id the smallest text is taken."""
+    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("chosen")).agg(
+        F.min(F.col(label_col).cast("int")).alias("toxic"), F.max(F.col(label_col).cast("int")).alias("_most")
+    ).filter(F.col("toxic") == F.col("_most")).drop("_most")
     order = (F.xxhash64(F.col("chosen").cast("string")), F.col("chosen"))
     picked = None
     for label in (0, 1):
         part = known.filter(F.col("toxic") == label).orderBy(*order).limit(s.per_class)
         picked = part if picked is None else picked.unionByName(part)
     joined = docs.select(F.col(id_col).alias("chosen"), text_of(text_col).alias("text")).join(F.broadcast(picked), "chosen")
-    return written(joined.select("toxic", "text"), "toxicity-sample")
+    once = joined.groupBy("chosen", "toxic").agg(F.min("text").alias("text"))
+    return written(once.select("toxic", "text"), "toxicity-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), text_col: str = "text",
@@ -308,10 +312,12 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), t
 
 def tagged(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with score, toxic_tokens (the expected number) and spans (code-point offsets, end
-    exclusive), in one pass over the whole texts. Null and empty texts have no token and score as such."""
+    exclusive), in one pass over the whole texts. Null and empty texts have no token and score as such. A token is in a
+    span where its marginal is one half or more. Rows that repeat are scored each for itself; no rows give no rows. If
+    `keep` has columns of these names, the new ones get underscores in front."""
     kept = docs.select(*keep)
-    added = "score double, toxic_tokens double, spans array<struct<start: int, end: int>>"
-    schema = extended(kept, added)
+    names = [free_name(kept, n) for n in ("score", "toxic_tokens", "spans")]
+    schema = extended(kept, f"`{names[0]}` double, `{names[1]}` double, `{names[2]}` array<struct<start: int, end: int>>")
     passed, pair = len(keep), pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +333,7 @@ def tagged(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[st
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:passed], pa.array(scores, pa.float64()), pa.array(counts, pa.float64()),
                  pa.array(found, pa.list_(pair))],
-                names=[*keep, "score", "toxic_tokens", "spans"],
+                names=[*keep, *names],
             )
 
     return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)

@@ -1,5 +1,7 @@
 """The pipeline against a brute-force version of its stages over a small table."""
 
+from collections import Counter
+
 import corpus_pipeline
 import duckdb
 import public_tokenizers
@@ -29,15 +31,17 @@ def expected(rows, tmp_path):
     con = duckdb.connect()
     con.execute("create table left_over (doc_id bigint, text varchar, lang varchar, source varchar)")
     con.executemany("insert into left_over values (?, ?, ?, ?)", [(r.doc_id, r.text, r.lang, r.source) for r in kept])
-    chosen = {x[0] for x in con.execute(f"select doc_id from ({mixing.sql(documents='left_over')}) where kept").fetchall()}
-    return {r.doc_id: r for r in kept if r.doc_id in chosen}
+    copies = dict(con.execute(f"select doc_id, copies from ({mixing.sql(mixing.EXPECTED, documents='left_over')}) where kept").fetchall())
+    return {r.doc_id: r for r in kept if r.doc_id in copies}, copies
 
 
 def test_pipeline_equals_brute_force(spark, tmp_path):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
-    want = expected(rows, tmp_path)
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SMALL).collect()}
+    want, copies = expected(rows, tmp_path)
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    got = {r.doc_id: r for r in found}
     assert got.keys() == want.keys() and 0 < len(got) < len(rows)
+    assert Counter(r.doc_id for r in found) == copies
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for k, r in got.items():
         assert (r.text, r.lang, r.source, r.n_chars) == (want[k].text, want[k].lang, want[k].source, want[k].n_chars)

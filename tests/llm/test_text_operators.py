@@ -106,8 +106,9 @@ def test_raking_meets_the_targets(spark, make_docs):
     rows = [(k, s, g, t, rng.randrange(50, 150)) for k, (s, g, t) in enumerate(
         rng.choices([(s, g, t) for s in "abc" for g in "xy" for t in "pq"], weights=range(1, 13), k=600))]
     docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
-    settings = mixing.Settings(sweeps=12)
+    settings = mixing.Settings()
     got = mixing.sampled(docs, settings).collect()
+    assert got[0].margin_error < 1e-6
     total = sum(r.n_tokens * r.weight for r in got)
     for d, power in settings.tempering:
         present = {}
@@ -123,6 +124,16 @@ def test_raking_meets_the_targets(spark, make_docs):
     assert abs(kept.sum() - odds.sum()) < 4 * np.sqrt((odds * (1 - odds)).sum()) + 1
 
 
+def test_contradictory_targets_leave_an_error(spark):
+    """Each source has one language, and the goals of the two dimensions differ."""
+    rows = [(k, "ab"[k % 4 == 0], "xy"[k % 4 == 0], "p", 100) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    settings = mixing.Settings(tempering=(("source", 0.0), ("lang", 1.0)))
+    assert mixing.sampled(docs, settings).first().margin_error == pytest.approx(0.25, abs=1e-9)
+    agreeing = mixing.Settings(tempering=(("source", 0.0), ("lang", 0.0)), sweeps=50)
+    assert mixing.sampled(docs, agreeing).first().margin_error <= agreeing.tolerance
+
+
 def test_tokenless_documents_have_no_weight(make_docs):
     got = mixing.sampled(mixing.weighed(make_docs("", None)), mixing.Settings(sweeps=1)).collect()
     assert [(r.weight, r.kept) for r in got] == [(0.0, False)] * 2
