@@ -488,7 +488,6 @@ def _(w, sf_dir):
 # --- linear models --------------------------------------------------------------------------
 
 _REDUCED = "model_4_reduced"
-_INFERENCE = ("p_value", "ci_lower", "ci_upper", "significant_05")
 
 
 def _prediction(name: str, job: Callable[[models.PredictionStudy], DataFrame]) -> None:
@@ -499,10 +498,6 @@ def _association(name: str, job: Callable[[models.AssociationStudy], DataFrame])
     QUERIES[name] = lambda w, sf_dir: job(models.AssociationStudy(w.statistical_analysis))
 
 
-def _all_coefficients(study: models.PredictionStudy) -> DataFrame:
-    return reduce(DataFrame.unionByName, (study.coefficients(n) for n in study.specs))
-
-
 def _reduced_design(study: models.PredictionStudy) -> DataFrame:
     spec = study.specs[_REDUCED]
     return design.design_matrix(study.hours, spec, known_levels=study.levels).frame
@@ -517,9 +512,9 @@ def _reduced_gram(study: models.PredictionStudy) -> DataFrame:
 _prediction("chronological_split", lambda s: s.hours.select("pickup_hour", "is_train"))
 _prediction("design_matrix", _reduced_design)
 _prediction("gram_matrix", _reduced_gram)
-_prediction("model_coefficients", lambda s: _all_coefficients(s).drop(*_INFERENCE))
-_prediction("model_inference", _all_coefficients)
-_prediction("model_fit_summary", lambda s: s.fit_summary().drop("f_p_value"))
+_prediction("model_coefficients", lambda s: s.coefficients())
+_prediction("model_inference", lambda s: s.coefficients().select("model", "feature", "p_value", "ci_lower", "ci_upper", "significant_05"))
+_prediction("model_fit_summary", lambda s: s.fit_summary())
 _prediction("model_comparison", lambda s: s.comparison())
 _prediction(
     "model_test_predictions",
@@ -530,19 +525,24 @@ _prediction("test_error_by_weekend", lambda s: s.error_by(_REDUCED, "is_weekend"
 _prediction("worst_predictions", lambda s: s.worst_predictions(_REDUCED))
 _prediction("residual_diagnostics", lambda s: s.residual_diagnostics(_REDUCED))
 _prediction("vif_reduced_model", lambda s: s.vif(_REDUCED))
+_prediction("training_residuals", lambda s: s.training_residuals(_REDUCED))
+_prediction("subway_residuals", lambda s: s.subway_residuals())
 _prediction("subway_residual_correlation", lambda s: s.subway_residual_correlation())
 
-_association("association_coefficients", lambda s: s.association_coefficients().drop(*_INFERENCE))
-_association("association_inference", lambda s: s.association_coefficients())
+_association("association_coefficients", lambda s: s.association_coefficients())
+_association(
+    "association_inference",
+    lambda s: s.association_coefficients().select("model", "feature", "p_value", "ci_lower", "ci_upper", "significant_05"),
+)
 _association("association_comparison", lambda s: s.association_comparison())
-_association("subway_lag_coefficients", lambda s: s.subway_lag_coefficients().drop(*_INFERENCE))
+_association("subway_lag_coefficients", lambda s: s.subway_lag_coefficients())
 _association("demand_lag_comparison", lambda s: s.ladder_comparison())
-_association("demand_lag_coefficients", lambda s: s.ladder_coefficients().drop(*_INFERENCE))
-_association("hac_sensitivity", lambda s: s.hac_sensitivity().drop(*_INFERENCE))
+_association("demand_lag_coefficients", lambda s: s.ladder_coefficients())
+_association("hac_sensitivity", lambda s: s.hac_sensitivity())
 _association("vif_ambient", lambda s: s.vif())
-_association("diagnostic_coefficients", lambda s: s.diagnostic_coefficients().drop(*_INFERENCE))
+_association("diagnostic_coefficients", lambda s: s.diagnostic_coefficients())
 _association("diagnostic_summary", lambda s: s.diagnostic_summary())
 _association("residual_autocorrelation", lambda s: models.autocorrelation(s.diagnostic()[1], "residual"))
-_association("residual_ljung_box", lambda s: models.ljung_box(s.diagnostic()[1], "residual").drop("lb_pvalue"))
+_association("residual_ljung_box", lambda s: models.ljung_box(s.diagnostic()[1], "residual"))
 _association("residual_ljung_box_test", lambda s: models.ljung_box(s.diagnostic()[1], "residual"))
 _association("lag_products", lambda s: models.lag_products(s.hours, "taxi_trip_count", 24))

@@ -1,4 +1,4 @@
-"""Tail probabilities of scalars: Student t, normal and chi-square."""
+"""Quantiles of scalars, Student t and normal, for the width of intervals; tails of columns are in functions/tails."""
 
 from __future__ import annotations
 
@@ -53,11 +53,6 @@ def t_two_sided(t: float, df: float) -> float:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
-def f_tail(f: float, df1: float, df2: float) -> float:
-    """P(F > f)."""
-    return math.nan if math.isnan(f) else incomplete_beta(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
-
-
 def t_quantile(probability: float, df: float) -> float:
     """Upper quantile (probability above one half) by bisection on the tail."""
     tail = 2.0 * (1.0 - probability)
@@ -70,30 +65,5 @@ def t_quantile(probability: float, df: float) -> float:
     return (low + high) / 2.0
 
 
-def normal_two_sided(z: float) -> float:
-    return math.nan if math.isnan(z) else math.erfc(abs(z) / math.sqrt(2.0))
-
-
 def normal_quantile(probability: float) -> float:
     return _NORMAL.inv_cdf(probability)
-
-
-def chi_square_tail(x: float, df: float) -> float:
-    """P(X > x) for a chi-square variable."""
-    s, x = df / 2.0, x / 2.0
-    if x <= 0.0:
-        return 1.0
-    log_front = s * math.log(x) - x - math.lgamma(s)
-    if x < s + 1.0:
-        total = term = 1.0 / s
-        k = s
-        while abs(term) > abs(total) * 1e-16:
-            k += 1.0
-            term *= x / k
-            total += term
-        return 1.0 - total * math.exp(log_front)
-
-    def fraction(k: int) -> tuple[float, float]:
-        return (0.0 if k == 0 else -k * (k - s)), x + 2 * k + 1.0 - s
-
-    return math.exp(log_front) / _continued_fraction(fraction)

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.config import DEFAULT, MobilityConfig
+from curbflow.functions import tails
 from curbflow.functions.measures import rows
 from curbflow.plans.regression_base import in_time_order, lagged
 from curbflow.session import write_and_read
-from curbflow.stats import distributions as dist
 from curbflow.stats.design import (
     CONST, Design, Spec, all_levels, chronological_split, complete_rows, design_matrix, term_names,
 )
 from curbflow.stats.ols import (
-    COEFFICIENT_SCHEMA, Fit, fit_specs, ols, ols_family, regression_metrics, vif, with_hac,
+    Fit, coefficient_table, fit_specs, ols, ols_family, regression_metrics, vif, with_hac,
 )
 
 TIME = ("hour_of_day", "day_of_week", "regression_month")
@@ -26,7 +26,7 @@ TRANSIT = ("subway_ridership", *(f"subway_ridership_lag_{k}" for k in (1, 2, 24)
 WEATHER = ("temperature_2m", "precipitation", "rain_flag")
 AMBIENT = ("temperature_2m", "relative_humidity_2m", "wind_speed_10m", "cloud_cover")
 
-# The four nested prediction models. The third adds weather on top of transit.
+# Terms of the four nested prediction models. The third adds weather on top of transit.
 PREDICTION_SPECS = (
     Spec("model_1_temporal_baseline", TAXI_LAGS, TIME),
     Spec("model_2_transit", TAXI_LAGS + TRANSIT, TIME),
@@ -77,8 +77,8 @@ class PredictionStudy:
             "residual", F.col("y") - F.col("prediction")
         )
 
-    def coefficients(self, name: str) -> DataFrame:
-        return self.fits[name].coefficient_table(self.spark)
+    def coefficients(self, *names: str) -> DataFrame:
+        return coefficient_table(self.spark, [self.fits[n] for n in names or self.specs])
 
     def metrics(self, *names: str) -> DataFrame:
         """Error measures of the training and the test sample per model."""
@@ -101,14 +101,15 @@ class PredictionStudy:
 
     def fit_summary(self) -> DataFrame:
         found = [
-            (n, f.n, f.rank, f.r_squared, f.adjusted_r_squared, f.f_statistic, f.f_p_value, f.aic, f.bic)
-            for n, f in self.fits.items()
+            (n, f.n, f.rank, f.r_squared, f.adjusted_r_squared, f.f_statistic, f.aic, f.bic) for n, f in self.fits.items()
         ]
-        return self.spark.createDataFrame(
+        rows_of = self.spark.createDataFrame(
             found,
             "model string, observations long, rank int, r_squared double, adjusted_r_squared double, "
-            "f_statistic double, f_p_value double, aic double, bic double",
+            "f_statistic double, aic double, bic double",
         )
+        rank = F.col("rank").cast("double")
+        return rows_of.withColumn("f_p_value", tails.f_tail(F.col("f_statistic"), rank - 1, F.col("observations") - rank))
 
     def test_errors(self, name: str) -> DataFrame:
         error = F.abs("residual")
@@ -156,17 +157,21 @@ class PredictionStudy:
             vif(self.shared.frame, columns, centred=False), "feature string, vif double"
         ).orderBy(F.desc("vif"))
 
-    def subway_residual_correlation(self) -> DataFrame:
-        """Ridership against the demand left after lags and calendar, on all complete hours."""
+    def subway_residuals(self) -> DataFrame:
+        """Each complete hour's ridership beside the demand left after lags and calendar."""
         spec = Spec("temporal_controls", TAXI_LAGS, TIME)
         design = design_matrix(self.hours, spec, carry=("subway_ridership",), known_levels=self.levels)
-        residuals = ols(design, spec.name).with_residuals(design)
-        return residuals.agg(
+        return ols(design, spec.name).with_residuals(design).select(
+            "pickup_hour", F.col("y").alias("taxi_trip_count"), "prediction", "residual", "subway_ridership"
+        )
+
+    def subway_residual_correlation(self) -> DataFrame:
+        return self.subway_residuals().agg(
             rows().alias("hours"), F.corr("residual", "subway_ridership").alias("residual_correlation")
         )
 
 
-# Association models on the hourly summary: name -> numeric terms beside the calendar controls.
+# Association models on the hourly summary, name -> numeric terms beside the calendar controls.
 ASSOCIATION_SPECS = (
     Spec("raw_subway", ("subway_ridership",)),
     Spec("subway_time", ("subway_ridership",), TIME),
@@ -177,10 +182,6 @@ ASSOCIATION_SPECS = (
     ),
     Spec("rain_subway_time", ("rain_flag", "subway_ridership", *AMBIENT), TIME),
 )
-KEY_TERMS = (
-    "subway_ridership", "precipitation", "rain_flag", "temperature_2m", "relative_humidity_2m", "wind_speed_10m",
-    "cloud_cover",
-)
 SUBWAY_LAG_SPEC = Spec(
     "subway_lags", ("subway_ridership", *(f"subway_ridership_lag_{k}" for k in (1, 2, 3))), TIME
 )
@@ -218,36 +219,28 @@ class AssociationStudy:
             [(f.name, f.n, f.r_squared, f.adjusted_r_squared, f.aic, f.bic) for f in fits], COMPARISON_SCHEMA
         )
 
-    def _coefficients(self, fits: list[Fit], only: tuple[str, ...] | None) -> DataFrame:
-        found = [row for f in fits for row in f.coefficient_rows(only)]
-        return self.spark.createDataFrame(found, COEFFICIENT_SCHEMA)
-
-    def association_coefficients(self) -> DataFrame:
-        return self._coefficients(self.robust(tuple((s, 24) for s in ASSOCIATION_SPECS)), KEY_TERMS)
+    def association_coefficients(self, only: tuple[str, ...] | None = None) -> DataFrame:
+        return coefficient_table(self.spark, self.robust(tuple((s, 24) for s in ASSOCIATION_SPECS)), only)
 
     def association_comparison(self) -> DataFrame:
         return self._comparison(ASSOCIATION_SPECS)
 
     def subway_lag_coefficients(self) -> DataFrame:
-        return self._coefficients(self.robust(((SUBWAY_LAG_SPEC, 24),)), SUBWAY_LAG_SPEC.continuous)
+        return coefficient_table(self.spark, self.robust(((SUBWAY_LAG_SPEC, 24),)))
 
     def ladder_comparison(self) -> DataFrame:
         return self._comparison(tuple(s for s, _ in LADDER))
 
     def ladder_coefficients(self) -> DataFrame:
-        """Ridership and demand-lag coefficients of each step, for the stability comparison."""
-        return self._coefficients(self.robust(LADDER), ("subway_ridership", *TAXI_LAGS))
+        return coefficient_table(self.spark, self.robust(LADDER))
 
     def hac_sensitivity(self, lags: tuple[int, ...] = HAC_LAGS) -> DataFrame:
         """The ridership coefficient under several lag choices: one fit, one pass for all choices."""
         spec = ASSOCIATION_SPECS[1]
         choices = with_hac(*self.fit(spec)[spec.name], lags)
-        found = [(k, *choices[k].coefficient_rows(("subway_ridership",))[0][2:8]) for k in lags]
-        return self.spark.createDataFrame(
-            found,
-            "hac_lags int, coefficient double, std_error double, statistic double, p_value double, "
-            "ci_lower double, ci_upper double",
-        )
+        named = [replace(choices[k], name=str(k)) for k in lags]
+        found = coefficient_table(self.spark, named, ("subway_ridership",))
+        return found.withColumn("hac_lags", F.col("model").cast("int")).drop("model", "feature", "significant_05")
 
     def vif(self) -> DataFrame:
         columns = ("subway_ridership", "temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m",
@@ -275,7 +268,7 @@ class AssociationStudy:
         )
 
     def diagnostic_coefficients(self) -> DataFrame:
-        return self._coefficients(self.robust(((DIAGNOSTIC_SPEC, 168),)), ("subway_ridership", *TAXI_LAGS))
+        return coefficient_table(self.spark, self.robust(((DIAGNOSTIC_SPEC, 168),)))
 
 
 ACF_LAGS = (1, 2, 3, 6, 12, 24, 48, 168)
@@ -311,13 +304,18 @@ def lag_products(series: DataFrame, column: str, max_lag: int) -> DataFrame:
 
 
 def ljung_box(series: DataFrame, column: str, lags: tuple[int, ...] = LJUNG_BOX_LAGS) -> DataFrame:
-    """Ljung-Box statistic and chi-square tail at each lag."""
-    sums = {r.lag: r.product_sum for r in lag_products(series, column, max(lags)).collect()}
-    n = series.count()
-    found, q = [], 0.0
-    for k in range(1, max(lags) + 1):
-        q += (sums.get(k, 0.0) / sums[0]) ** 2 / (n - k)
-        if k in lags:
-            stat = n * (n + 2) * q
-            found.append((k, stat, dist.chi_square_tail(stat, k)))
-    return series.sparkSession.createDataFrame(found, "lag int, lb_stat double, lb_pvalue double")
+    """Ljung-Box statistic and chi-square tail at each lag; both are null for an empty or constant series."""
+    sums = lag_products(series, column, max(lags))
+    # one row per lag: products with later rows, the variance (lag 0) and the number of rows beside each
+    every = Window.partitionBy()
+    own = F.col("product_sum") / F.nullif(F.max(F.when(F.col("lag") == 0, F.col("product_sum"))).over(every), F.lit(0.0))
+    n = F.max("pairs").over(every)
+    parts = sums.select("lag", (own * own / (n - F.col("lag"))).alias("part"), n.cast("double").alias("n")).where("lag > 0")
+    asked = F.inline(F.array(*(F.struct(F.lit(k).alias("of")) for k in lags)))
+    stats = (
+        parts.select("*", asked).where(F.col("lag") <= F.col("of")).groupBy("of")
+        .agg((F.max("n") * (F.max("n") + 2) * F.sum("part")).alias("lb_stat"))
+    )
+    return stats.select(
+        F.col("of").alias("lag"), "lb_stat", tails.chi_square_tail(F.col("lb_stat"), F.col("of").cast("double")).alias("lb_pvalue")
+    )

@@ -11,15 +11,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from curbflow.functions import tails
 from curbflow.functions.measures import count_where, rows
 from curbflow.stats import distributions as dist
 from curbflow.stats.design import CONST, Design, Spec, complete_rows, design_matrix, term_names
 from curbflow.stats.gram import gram, pseudo_inverse
 
-COEFFICIENT_SCHEMA = (
-    "model string, feature string, coefficient double, std_error double, statistic double, "
-    "p_value double, ci_lower double, ci_upper double, significant_05 boolean"
-)
+_FOUND = "model string, feature string, coefficient double, std_error double, statistic double, df double, quantile double"
+
+
+def inference(found: DataFrame) -> DataFrame:
+    """Rows of coefficients with p-values and intervals: Student t with df degrees of freedom, normal where df is null."""
+    t, df, half = F.col("statistic"), F.col("df"), F.col("quantile") * F.col("std_error")
+    p = F.when(df.isNull(), tails.normal_two_sided(t)).otherwise(tails.t_two_sided(t, F.coalesce(df, F.lit(1.0))))
+    return found.withColumns(
+        {"p_value": p, "ci_lower": F.col("coefficient") - half, "ci_upper": F.col("coefficient") + half}
+    ).withColumn("significant_05", F.col("p_value") < 0.05).drop("df", "quantile")
+
+
+def coefficient_table(spark: SparkSession, fits: list["Fit"], only: tuple[str, ...] | None = None) -> DataFrame:
+    return inference(spark.createDataFrame([row for f in fits for row in f.coefficient_rows(only)], _FOUND))
 
 
 @dataclass(frozen=True)
@@ -55,10 +66,6 @@ class Fit:
         explained = (self.sst - self.ssr) / (self.rank - 1) if self.rank > 1 else math.nan
         return explained / (self.ssr / self.df_resid)
 
-    @property
-    def f_p_value(self) -> float:
-        return dist.f_tail(self.f_statistic, self.rank - 1, self.df_resid)
-
     @property
     def _deviance(self) -> float:
         return self.n * (math.log(2.0 * math.pi) + 1.0 + math.log(self.ssr / self.n))
@@ -72,22 +79,17 @@ class Fit:
         return self._deviance + math.log(self.n) * self.rank
 
     def coefficient_rows(self, only: tuple[str, ...] | None = None) -> list[tuple]:
-        """Student t inference, or normal inference for a robust covariance."""
+        """Term, coefficient, standard error, statistic, and what its inference needs: Student t, or normal for a robust
+        covariance."""
+        df = None if self.robust else float(self.df_resid)
         quantile = dist.normal_quantile(0.975) if self.robust else dist.t_quantile(0.975, self.df_resid)
         out = []
         for i, (term, b) in enumerate(zip(self.terms, self.coefficients)):
-            if only is not None and term not in only:
-                continue
-            b, se = float(b), math.sqrt(max(float(self.covariance[i, i]), 0.0))
-            stat = b / se if se else math.nan
-            p = dist.normal_two_sided(stat) if self.robust else dist.t_two_sided(stat, self.df_resid)
-            half = quantile * se
-            out.append((self.name, term, b, se, stat, p, b - half, b + half, p < 0.05))
+            if only is None or term in only:
+                se = math.sqrt(max(float(self.covariance[i, i]), 0.0))
+                out.append((self.name, term, float(b), se, float(b) / se if se else math.nan, df, quantile))
         return out
 
-    def coefficient_table(self, spark: SparkSession, only: tuple[str, ...] | None = None) -> DataFrame:
-        return spark.createDataFrame(self.coefficient_rows(only), COEFFICIENT_SCHEMA)
-
     def predicted(self) -> Column:
         """Prediction as one codegen expression over the term columns."""
         parts = [F.col(t) * F.lit(float(b)) for t, b in zip(self.terms, self.coefficients)]

@@ -98,6 +98,56 @@ group by 1, 2, 3
 """)
 
 
+_TERMS = 300
+
+
+def _beta_direct(a: str, b: str, x: str, rest: str) -> str:
+    """Front factor over the continued fraction, worked out from its last term; rest is 1 - x."""
+    fraction = f"""list_reduce(range({_TERMS}, 0, -1)::double[], lambda acc, k: 1 + case when k % 2 = 1
+      then -({a} + (k - 1) / 2) * ({a} + {b} + (k - 1) / 2) * ({x}) / (({a} + k - 1) * ({a} + k))
+      else (k / 2) * ({b} - k / 2) * ({x}) / (({a} + k - 1) * ({a} + k)) end / acc, 1::double)"""
+    return f"exp(lgamma({a} + {b}) - lgamma({a}) - lgamma({b}) + {a} * ln({x}) + {b} * ln({rest})) / ({a} * {fraction})"
+
+
+def _beta(a: str, b: str, x: str, rest: str) -> str:
+    return f"""case when {x} <= 0 then 0 when {rest} <= 0 then 1 when {x} > ({a} + 1) / ({a} + {b} + 2)
+      then 1 - {_beta_direct(b, a, rest, x)} else {_beta_direct(a, b, x, rest)} end"""
+
+
+def t_tail(t: str, df: str) -> str:
+    return _beta(f"({df} / 2)", "0.5::double", f"({df} / ({df} + {t} * {t}))", f"({t} * {t} / ({df} + {t} * {t}))")
+
+
+def f_tail(f: str, df1: str, df2: str) -> str:
+    return _beta(f"({df2} / 2)", f"({df1} / 2)", f"({df2} / ({df2} + {df1} * {f}))", f"({df1} * {f} / ({df2} + {df1} * {f}))")
+
+
+def chi_tail(x: str, df: str) -> str:
+    s, half = f"({df} / 2)", f"({x} / 2)"
+    front = f"exp({s} * ln({half}) - {half} - lgamma({s}))"
+    # the series in Horner's form, and the fraction from its last term
+    series = f"list_reduce(range({_TERMS}, 0, -1)::double[], lambda acc, k: 1 + acc * {half} / ({s} + k), 1::double) / {s}"
+    fraction = f"""list_reduce(range({_TERMS}, 0, -1)::double[], lambda acc, k: {half} + 2 * k - 1 - {s} - k * (k - {s}) / acc,
+      ({half} + {2 * _TERMS + 1} - {s})::double)"""
+    return f"""case when {half} <= 0 then 1 when {half} < {s} + 1 then 1 - {front} * {series}
+      else {front} / ({fraction}) end"""
+
+
+def normal_tail(z: str) -> str:
+    return chi_tail(f"({z} * {z})", "1::double")
+
+
+NORMAL_QUANTILE = "1.959963984540054"
+INFERENCE = "p_value ci_lower ci_upper"
+
+
+def inferred(rows: str, tail: str, quantile: str) -> str:
+    """rows (with coefficient, std_error and statistic) with p-values and 95 percent intervals."""
+    return f"""select * exclude (df), p_value < 0.05 as significant_05 from (
+      select *, {tail} as p_value, coefficient - {quantile} * std_error as ci_lower,
+             coefficient + {quantile} * std_error as ci_upper from ({rows}))"""
+
+
 MODELS = {
     "model_1_temporal_baseline": ("q1", TAXI),
     "model_2_transit": ("q2", [*TAXI, *RIDERS]),
@@ -151,15 +201,30 @@ def _metrics(name: str, tag: str) -> str:
       from ({sample} from {tag}_res where is_train) a, ({sample} from {tag}_res where not is_train) b, {tag}_fit"""
 
 
-def _robust_rows(names: list[str], kept: str) -> str:
-    return compose(
-        " union all ".join(
-            f"""select '{n}' as model, feature, coefficient, std_error, coefficient / std_error as statistic
-                from {ASSOCIATIONS[n][0]}_hac where {kept}"""
-            for n in names
-        ),
-        "coefficient std_error statistic",
+def _robust_rows(names: list[str], columns: str = "*") -> str:
+    found = " union all ".join(
+        f"""select '{n}' as model, feature, coefficient, std_error, coefficient / std_error as statistic, null as df
+            from {ASSOCIATIONS[n][0]}_hac"""
+        for n in names
+    )
+    doubles = f"coefficient std_error statistic {INFERENCE}" if columns == "*" else INFERENCE
+    return compose(f"select {columns} from ({inferred(found, normal_tail('statistic'), NORMAL_QUANTILE)})", doubles)
+
+
+_INFERRED = f"model, feature, {INFERENCE.replace(' ', ', ')}, significant_05"
+# The upper 2.5 percent point of t by its expansion around the normal one, exact to 1e-12 beyond a thousand degrees.
+_Z = NORMAL_QUANTILE
+_T_QUANTILE = f"""({_Z} + (pow({_Z}, 3) + {_Z}) / (4 * df) + (5 * pow({_Z}, 5) + 16 * pow({_Z}, 3) + 3 * {_Z}) / (96 * df * df)
+  + (3 * pow({_Z}, 7) + 19 * pow({_Z}, 5) + 17 * pow({_Z}, 3) - 15 * {_Z}) / (384 * pow(df, 3)))"""
+
+
+def _coefficient_rows(columns: str = "*") -> str:
+    found = " union all ".join(
+        f"""select '{n}' as model, feature, coefficient, std_error, coefficient / std_error as statistic,
+              (select n - p from {tag}_fit)::double as df from {tag}_beta""" for n, (tag, _) in MODELS.items()
     )
+    doubles = f"coefficient std_error statistic {INFERENCE}" if columns == "*" else INFERENCE
+    return compose(f"select {columns} from ({inferred(found, t_tail('statistic', 'df'), _T_QUANTILE)})", doubles)
 
 
 def _fit_rows(names: list[str]) -> str:
@@ -173,17 +238,21 @@ def _fit_rows(names: list[str]) -> str:
     )
 
 
-_KEY = (
-    "feature in ('subway_ridership', 'precipitation', 'rain_flag', 'temperature_2m', 'relative_humidity_2m', "
-    "'wind_speed_10m', 'cloud_cover')"
-)
-_DEMAND = "feature = 'subway_ridership' or feature like 'taxi_trip_count_lag%'"
 _Q4 = ["const", *MODELS["model_4_reduced"][1], *_DUMMIES]
 
 # Uncentred inflation: sweep the reduced model's terms without the constant, over all complete hours.
 model("qv", _Q4[1:], "select * from m_model_hours")
 model("qa", ["const", *ASSOCIATIONS["subway_weather_time"][1]], "select * from m_series where subway_ridership is not null")
 
+_ASSOCIATED = ["raw_subway", "subway_time", "subway_weather_time", "rain_subway_time"]
+_LJUNG_BOX = f"""with o as (select residual - avg(residual) over () as r, row_number() over (order by pickup_hour) as t,
+                        count(*) over () as n from a9_res),
+             acf as (select a.t - b.t as k, any_value(a.n) as n, sum(a.r * b.r) / (select sum(r * r) from o) as r
+                     from o a join o b on b.t between a.t - 168 and a.t - 1 group by 1),
+             stats as (select m::int as lag, any_value(n) * (any_value(n) + 2) * sum(r * r / (n - k)) as lb_stat
+                       from (values (1), (6), (12), (24), (48), (168)) as l(m) join acf on k <= m group by 1)
+           select lag, lb_stat, {chi_tail('lb_stat', 'lag::double')} as lb_pvalue from stats"""
+
 STATS_SQL = {
     "chronological_split": compose("select pickup_hour, is_train from m_model_hours"),
     "design_matrix": compose(
@@ -196,20 +265,16 @@ STATS_SQL = {
               [{', '.join(f"'{t}'" for t in [*_Q4, 'y'])}][j] as term_j, v as total from q4_gram where i <= j""",
         "total",
     ),
-    "model_coefficients": compose(
-        " union all ".join(
-            f"""select '{n}' as model, feature, coefficient, std_error, coefficient / std_error as statistic
-                from {tag}_beta""" for n, (tag, _) in MODELS.items()
-        ),
-        "coefficient std_error statistic",
-    ),
+    "model_coefficients": _coefficient_rows(),
+    "model_inference": _coefficient_rows(_INFERRED),
     "model_fit_summary": compose(
         " union all ".join(
             f"""select '{n}' as model, n as observations, p::int as rank, r2 as r_squared,
-                  adjusted as adjusted_r_squared, (sst - ssr) / (p - 1) / (ssr / (n - p)) as f_statistic, aic, bic
+                  adjusted as adjusted_r_squared, (sst - ssr) / (p - 1) / (ssr / (n - p)) as f_statistic, aic, bic,
+                  {f_tail('((sst - ssr) / (p - 1) / (ssr / (n - p)))', '(p - 1)', '(n - p)')} as f_p_value
                 from {tag}_fit""" for n, (tag, _) in MODELS.items()
         ),
-        "r_squared adjusted_r_squared f_statistic aic bic",
+        "r_squared adjusted_r_squared f_statistic aic bic f_p_value",
     ),
     "model_comparison": compose(
         " union all ".join(_metrics(n, tag) for n, (tag, _) in MODELS.items()),
@@ -257,20 +322,29 @@ STATS_SQL = {
         "select count(*) as hours, corr(residual, subway_ridership) as residual_correlation from qc_res",
         "residual_correlation",
     ),
-    "association_coefficients": _robust_rows(["raw_subway", "subway_time", "subway_weather_time", "rain_subway_time"], _KEY),
+    "association_coefficients": _robust_rows(_ASSOCIATED),
+    "association_inference": _robust_rows(_ASSOCIATED, _INFERRED),
+    "training_residuals": compose("select pickup_hour, residual from q4_res where is_train", "residual"),
+    "subway_residuals": compose(
+        "select pickup_hour, taxi_trip_count::double as taxi_trip_count, prediction, residual, subway_ridership from qc_res",
+        "prediction residual",
+    ),
     "association_comparison": _fit_rows(["raw_subway", "subway_time", "subway_weather_time", "rain_subway_time"]),
-    "subway_lag_coefficients": _robust_rows(["subway_lags"], "feature like 'subway_ridership%'"),
+    "subway_lag_coefficients": _robust_rows(["subway_lags"]),
     "demand_lag_comparison": _fit_rows(["baseline", "short_lags", "full_lags"]),
-    "demand_lag_coefficients": _robust_rows(["baseline", "short_lags", "full_lags"], _DEMAND),
+    "demand_lag_coefficients": _robust_rows(["baseline", "short_lags", "full_lags"]),
     "hac_sensitivity": compose(
-        " union all ".join(
-            f"""select {k} as hac_lags, coefficient, std_error, coefficient / std_error as statistic
-                from {'a2' if k == 24 else f'a2w{k}'}_hac where feature = 'subway_ridership'"""
-            for k in (6, 12, 24, 48, 168)
-        ),
-        "coefficient std_error statistic",
+        "select * exclude (significant_05) from (" + inferred(
+            " union all ".join(
+                f"""select {k} as hac_lags, coefficient, std_error, coefficient / std_error as statistic, null as df
+                    from {'a2' if k == 24 else f'a2w{k}'}_hac where feature = 'subway_ridership'"""
+                for k in (6, 12, 24, 48, 168)
+            ),
+            normal_tail("statistic"), NORMAL_QUANTILE,
+        ) + ")",
+        f"coefficient std_error statistic {INFERENCE}",
     ),
-    "diagnostic_coefficients": _robust_rows(["lagged_demand"], _DEMAND),
+    "diagnostic_coefficients": _robust_rows(["lagged_demand"]),
     "diagnostic_summary": compose(
         """select count(*) as observations, (select count(*) from m_series) - count(*) as lost_to_lags,
              (select r2 from a9_fit) as r_squared, (select adjusted from a9_fit) as adjusted_r_squared,
@@ -286,15 +360,8 @@ STATS_SQL = {
            group by 1""",
         "autocorrelation",
     ),
-    "residual_ljung_box": compose(
-        """with o as (select residual - avg(residual) over () as r, row_number() over (order by pickup_hour) as t,
-                        count(*) over () as n from a9_res),
-             acf as (select a.t - b.t as k, any_value(a.n) as n, sum(a.r * b.r) / (select sum(r * r) from o) as r
-                     from o a join o b on b.t between a.t - 168 and a.t - 1 group by 1)
-           select m::int as lag, any_value(n) * (any_value(n) + 2) * sum(r * r / (n - k)) as lb_stat
-           from (values (1), (6), (12), (24), (48), (168)) as l(m) join acf on k <= m group by 1""",
-        "lb_stat",
-    ),
+    "residual_ljung_box": compose(_LJUNG_BOX, "lb_stat lb_pvalue"),
+    "residual_ljung_box_test": compose(_LJUNG_BOX, "lb_stat lb_pvalue"),
     "lag_products": compose(
         """with o as (select taxi_trip_count - avg(taxi_trip_count) over () as d,
                         row_number() over (order by pickup_hour) as t from m_series)

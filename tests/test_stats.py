@@ -1,10 +1,11 @@
 import math
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import MEDIUM
+from curbflow.functions import tails
 from curbflow.registry import open_warehouse
 from curbflow.stats import distributions as dist
 from curbflow.stats.design import Spec, all_levels, chronological_split, complete_rows, design_matrix
@@ -12,6 +13,7 @@ from curbflow.stats.models import (
     ASSOCIATION_SPECS, AssociationStudy, PredictionStudy, autocorrelation, lag_products, ljung_box,
 )
 from curbflow.stats.ols import ols, regression_metrics, vif, with_hac
+from tests.conftest import MEDIUM
 
 
 @pytest.fixture(scope="module")
@@ -45,14 +47,36 @@ def test_distribution_tails():
     # Published table entries.
     assert abs(dist.t_quantile(0.975, 10) - 2.228138852) < 1e-8
     assert abs(dist.t_quantile(0.975, 1) - 12.7062047362) < 1e-8
-    assert abs(dist.t_two_sided(2.0, 5) - 0.1019394788) < 1e-9
-    assert abs(dist.chi_square_tail(3.841458821, 1) - 0.05) < 1e-9
-    assert abs(dist.chi_square_tail(18.307038053, 10) - 0.05) < 1e-9
-    assert abs(dist.chi_square_tail(1.0, 2) - math.exp(-0.5)) < 1e-14
-    assert abs(dist.normal_two_sided(1.959963984540054) - 0.05) < 1e-12
-    assert dist.t_two_sided(40.0, 1576) < 1e-200
-    assert abs(dist.f_tail(3.325834530, 2, 10) - 0.0782) < 1e-3
-    assert abs(dist.f_tail(4.0, 1, 7) - dist.t_two_sided(2.0, 7)) < 1e-14
+
+
+def tail_values(spark, expression):
+    return spark.range(1).select(expression).first()[0]
+
+
+def test_tails_as_expressions(spark):
+    lit = lambda v: F.lit(float(v))
+    value = lambda e: tail_values(spark, e)
+    assert abs(value(tails.t_two_sided(lit(2.0), lit(5))) - 0.1019394788) < 1e-9
+    assert abs(value(tails.chi_square_tail(lit(3.841458821), lit(1))) - 0.05) < 1e-9
+    assert abs(value(tails.chi_square_tail(lit(18.307038053), lit(10))) - 0.05) < 1e-9
+    assert abs(value(tails.chi_square_tail(lit(1.0), lit(2))) - math.exp(-0.5)) < 1e-12
+    assert abs(value(tails.normal_two_sided(lit(1.959963984540054))) - 0.05) < 1e-11
+    assert value(tails.t_two_sided(lit(40.0), lit(1576))) < 1e-200
+    assert abs(value(tails.f_tail(lit(4.0), lit(1), lit(7))) - value(tails.t_two_sided(lit(2.0), lit(7)))) < 1e-12
+    assert math.isnan(value(tails.t_two_sided(lit("nan"), lit(7))))
+    for df in (1, 3, 30, 1600):
+        for t in (0.0, 0.3, 1.0, 5.0):
+            assert abs(value(tails.t_two_sided(lit(t), lit(df))) - dist.t_two_sided(t, df)) < 1e-10
+    for z in (0.0, 0.5, 1.0, 3.0, 8.0):
+        assert abs(value(tails.normal_two_sided(lit(z))) - math.erfc(z / math.sqrt(2))) < 1e-11
+
+
+def test_ljung_box_of_a_constant_or_empty_series(spark):
+    rows = [(datetime(2024, 4, 1) + timedelta(hours=k), 5.0) for k in range(10)]
+    constant = spark.createDataFrame(rows, "pickup_hour timestamp_ntz, residual double")
+    assert [(r.lag, r.lb_stat, r.lb_pvalue) for r in ljung_box(constant, "residual", (1, 2)).collect()] in ([(1, None, None), (2, None, None)], [(2, None, None), (1, None, None)])
+    assert ljung_box(constant.where("false"), "residual", (1, 2)).collect() == []
+
 
 
 def test_ols_matches_numpy(base):
@@ -166,4 +190,4 @@ def test_serial_diagnostics_match_numpy(spark):
     q = 400 * 402 * sum(rho[k] ** 2 / (400 - k) for k in range(1, 7))
     found = {r.lag: r for r in ljung_box(df, "residual", (1, 6)).collect()}
     assert abs(found[6].lb_stat - q) < 1e-8
-    assert abs(found[6].lb_pvalue - dist.chi_square_tail(q, 6)) < 1e-12
+    assert abs(found[6].lb_pvalue - tail_values(spark, tails.chi_square_tail(F.lit(float(q)), F.lit(6.0)))) < 1e-12
