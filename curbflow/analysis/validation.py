@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from curbflow.functions import clock
 from curbflow.functions.measures import count_where, rows
 from curbflow.operators.duplicates import duplicate_groups, is_unique
+from curbflow.operators.series import with_lags
 from curbflow.operators.shaping import rows_from_columns, side_by_side
-from curbflow.plans.regression_base import in_time_order
 from curbflow.warehouse import Warehouse
 
 TRIP_KEY = (
@@ -156,10 +156,9 @@ def zone_mapping(w: Warehouse) -> DataFrame:
 
 
 def spine_gaps(spine: DataFrame) -> DataFrame:
-    """Consecutive spine hours that are not one hour apart. The spine is bounded by the period."""
+    """Consecutive spine hours that are not one hour apart."""
     ordered = spine.select(F.col("timestamp_hour").alias("pickup_hour"))
-    previous = F.lag("pickup_hour").over(in_time_order())
-    return ordered.select("pickup_hour", previous.alias("previous_hour")).where(
+    return with_lags(ordered, "pickup_hour", {"previous_hour": ("pickup_hour", 1)}).where(
         clock.elapsed_seconds(F.col("previous_hour"), F.col("pickup_hour")) != 3600
     )
 

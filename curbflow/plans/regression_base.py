@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions import clock
+from curbflow.operators.series import with_lags
 
 TAXI_LAGS = (1, 2, 24, 168)
 SUBWAY_LAGS = (1, 2, 24)
 
 
-def in_time_order() -> "Window":
-    """The hourly series in order.
-
-    Lags need one ordered sequence, so this window runs in one task. Its input is the hourly
-    summary: at most one row per hour of the configured period, whatever the number of trips.
-    """
-    return Window.orderBy("pickup_hour")
-
-
-def lagged(column: str, steps: tuple[int, ...]) -> dict[str, Column]:
+def lags_of(column: str, steps: tuple[int, ...]) -> dict[str, tuple[str, int]]:
     """Row-offset lags: with absent hours, lag 168 is 168 rows back, not one week."""
-    return {f"{column}_lag_{k}": F.lag(column, k).over(in_time_order()) for k in steps}
+    return {f"{column}_lag_{k}": (column, k) for k in steps}
 
 
 def fill_missing_hours(summary: DataFrame, spine: DataFrame) -> DataFrame:
@@ -42,10 +34,9 @@ def statistical_analysis(summary: DataFrame) -> DataFrame:
         "precipitation", "rain", "wind_speed_10m", "cloud_cover",
     )
     day = F.col("calendar_date")
-    return base.withColumns(
+    lags = {**lags_of("taxi_trip_count", TAXI_LAGS), **lags_of("subway_ridership", SUBWAY_LAGS)}
+    return with_lags(base, "pickup_hour", lags).withColumns(
         {
-            **lagged("taxi_trip_count", TAXI_LAGS),
-            **lagged("subway_ridership", SUBWAY_LAGS),
             "regression_day_of_week": clock.day_of_week(day),
             "regression_month": F.month(day),
             "rain_flag": F.when(F.col("precipitation") > 0, 1).otherwise(0),

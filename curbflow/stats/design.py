@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions.measures import rows
-from curbflow.plans.regression_base import in_time_order
+from curbflow.operators.series import numbered
 
 CONST = "const"
 # Categorical terms are calendar parts with these levels.
@@ -77,5 +77,5 @@ def design_matrix(df: DataFrame, spec: Spec, key: str = "pickup_hour", carry: tu
 def chronological_split(df: DataFrame, test_share: float) -> DataFrame:
     """Mark the first floor(n * (1 - test_share)) rows in time order as the training sample."""
     total = df.agg(rows()).scalar()
-    position = F.row_number().over(in_time_order())
-    return df.withColumn("is_train", position <= F.floor(total * F.lit(1.0 - test_share)))
+    placed = numbered(df, "pickup_hour", "_place")
+    return placed.withColumn("is_train", F.col("_place") < F.floor(total * F.lit(1.0 - test_share))).drop("_place")

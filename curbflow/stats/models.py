@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from curbflow.config import DEFAULT, MobilityConfig
 from curbflow.functions import tails
 from curbflow.functions.measures import rows
-from curbflow.plans.regression_base import in_time_order, lagged
+from curbflow.operators.series import numbered, with_halo, with_lags
+from curbflow.plans.regression_base import lags_of
 from curbflow.session import write_and_read
 from curbflow.stats.design import (
     CONST, Design, Spec, all_levels, chronological_split, complete_rows, design_matrix, term_names,
@@ -202,7 +203,7 @@ class AssociationStudy:
 
     def __init__(self, base: DataFrame):
         self.spark = base.sparkSession
-        third_lag = base.withColumns(lagged("subway_ridership", (3,)))
+        third_lag = with_lags(base, "pickup_hour", lags_of("subway_ridership", (3,)))
         self.hours = write_and_read(third_lag, "association-hours")
         self.levels = all_levels(self.hours, TIME)
 
@@ -277,11 +278,10 @@ LJUNG_BOX_LAGS = (1, 6, 12, 24, 48, 168)
 
 def autocorrelation(series: DataFrame, column: str, lags: tuple[int, ...] = ACF_LAGS) -> DataFrame:
     """Pearson correlation of the series with itself k rows earlier, over the overlapping rows."""
-    shifted = series.select(
+    past = with_lags(series.select("pickup_hour", column), "pickup_hour", {f"past_{k}": (column, k) for k in lags})
+    shifted = past.select(
         F.col(column).alias("now"),
-        F.array(
-            *(F.struct(F.lit(k).alias("lag"), F.lag(column, k).over(in_time_order()).alias("past")) for k in lags)
-        ).alias("pairs"),
+        F.array(*(F.struct(F.lit(k).alias("lag"), F.col(f"past_{k}").alias("past")) for k in lags)).alias("pairs"),
     )
     pairs = shifted.select("now", F.inline("pairs")).where(F.col("past").isNotNull())
     return pairs.groupBy("lag").agg(F.corr("now", "past").alias("autocorrelation"))
@@ -290,14 +290,16 @@ def autocorrelation(series: DataFrame, column: str, lags: tuple[int, ...] = ACF_
 def lag_products(series: DataFrame, column: str, max_lag: int) -> DataFrame:
     """Sum of products of deviations from the mean at each lag, 0 to max_lag.
 
-    A row meets only the lagged values it needs: deviations are lagged by one window, so the work
-    is rows times lags.
+    A row meets only the lagged values it needs: a block of rows has the max_lag rows before it as its halo, so the work
+    is rows times lags and no task sees the whole series.
     """
     mean = series.agg(F.avg(column)).scalar()
     centred = series.select("pickup_hour", (F.col(column) - mean).alias("d"))
-    past = F.collect_list("d").over(Window.orderBy("pickup_hour").rowsBetween(-max_lag, 0))
+    recent = Window.partitionBy("_block").orderBy("_i").rowsBetween(-max_lag, 0)
+    blocks = with_halo(numbered(centred, "pickup_hour"), max_lag)
+    centred = blocks.withColumn("past", F.collect_list("d").over(recent)).where("_own")
     # `past` holds the deviations up to the current row, oldest first: reversed, position k is lag k.
-    products = centred.select("d", past.alias("past")).select(
+    products = centred.select(
         "d", F.posexplode(F.reverse("past")).alias("lag", "earlier")
     )
     return products.groupBy("lag").agg(F.sum(F.col("d") * F.col("earlier")).alias("product_sum"), rows().alias("pairs"))

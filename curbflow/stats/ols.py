@@ -8,11 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.functions import tails
 from curbflow.functions.measures import count_where, rows
+from curbflow.operators.series import numbered, with_halo
 from curbflow.stats import distributions as dist
 from curbflow.stats.design import CONST, Design, Spec, complete_rows, design_matrix, term_names
 from curbflow.stats.gram import gram, pseudo_inverse
@@ -142,26 +143,19 @@ def hac_meats(residuals: DataFrame, terms: tuple[str, ...], lags: tuple[int, ...
 
     The ordered series is cut into blocks of a few lag lengths, and each block receives a copy of
     the rows its lags reach back to. Blocks are independent tasks of bounded size; their matrices
-    are summed by a shuffle on the cell number. Only the row numbering orders the whole series,
-    which is hourly and therefore bounded by the period.
+    are summed by a shuffle on the cell number.
     """
-    reach = max(lags)
-    size = max(4 * reach, 1024)
-    numbered = residuals.select(
-        (F.row_number().over(Window.orderBy(order)) - 1).alias("_i"), F.col("residual").alias("_u"), *terms
-    )
-    owner, follower = F.floor(F.col("_i") / size), F.floor((F.col("_i") + reach) / size)
-    blocked = numbered.withColumn("_block", F.explode(F.array_distinct(F.array(owner, follower))))
+    scores = residuals.select(order, F.col("residual").alias("_u"), *terms)
+    blocked = with_halo(numbered(scores, order), max(lags)).drop(order)
     upper = np.triu_indices(len(terms))
 
-    def partial(key, block):
+    def partial(block):
         block = block.sort_values("_i")
-        at = block["_i"].to_numpy(dtype=np.int64)
         g = block[list(terms)].to_numpy(dtype=float) * block["_u"].to_numpy(dtype=float)[:, None]
         t = np.arange(len(g), dtype=float)[:, None]
         plain = np.vstack([np.zeros(g.shape[1]), np.cumsum(g, axis=0)])
         indexed = np.vstack([np.zeros(g.shape[1]), np.cumsum(t * g, axis=0)])
-        own = at // size == int(key[0])
+        own = block["_own"].to_numpy(dtype=bool)
         now = np.arange(len(g))
         cells = []
         for lag in lags:
