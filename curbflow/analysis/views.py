@@ -28,6 +28,14 @@ def listed_mart(mart: DataFrame, name: str) -> DataFrame:
     return mart.orderBy(column, ascending=ascending)
 
 
+def numbered_listing(mart: DataFrame, name: str, key: str) -> DataFrame:
+    """The key and listed column of each row with its place in the listing, ties by key. Marts are small."""
+    column, ascending = MART_ORDER[name]
+    first = F.col(column).asc() if ascending else F.col(column).desc()
+    place = F.row_number().over(Window.orderBy(first, key))
+    return listed_mart(mart, name).select(key, column, place.alias("place"))
+
+
 def filter_preset(df: DataFrame, preset: str) -> DataFrame:
     """Rows of the last days of the data; a window longer than the data keeps everything."""
     days = DATE_PRESETS[preset]

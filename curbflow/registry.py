@@ -11,20 +11,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow import pipeline as sinks
 from curbflow.analysis import dictionary, findings, profiling, validation, views
 from curbflow.config import Period
 from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
 from curbflow.session import scratch_dir
-from curbflow.sources import fixtures, manifest, staging
+from curbflow.sources import exchanges, fixtures, manifest, staging
 from curbflow.stats import design, gram, models
 from curbflow.warehouse import LAYERS, Warehouse, with_sources
 
 # Doubles are rounded once, on the final rows, so that two engines' summation orders agree. The
 # nudge moves exact ties (common in quotients by powers of two) off the rounding boundary.
 DIGITS = 6
-COARSER = {"executive_mobility": 4, "fare_payment_analysis": 4}
+COARSER = {"executive_mobility": 4, "fare_payment_analysis": 4, "payment_view_of_a_label": 4}
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -485,6 +486,54 @@ def _(w, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+@query("read_trip_months")
+def _(w, sf_dir):
+    return exchanges.trips_from_months(w.spark, w.inputs.taxi_trips, Period(datetime(2024, 4, 15), datetime(2024, 6, 2, 12)))
+
+
+@query("read_zones_csv")
+def _(w, sf_dir):
+    return exchanges.zones_from_csv(w.spark, sf_dir)
+
+
+@query("read_weather_csv")
+def _(w, sf_dir):
+    return exchanges.weather_from_csv(w.spark, sf_dir)
+
+
+@query("read_weather_payload")
+def _(w, sf_dir):
+    return exchanges.weather_from_payload(w.spark, sf_dir)
+
+
+@query("read_subway_csv")
+def _(w, sf_dir):
+    return exchanges.subway_from_csv(w.spark, sf_dir, w.config.period)
+
+
+@query("result_through_csv")
+def _(w, sf_dir):
+    return exchanges.through_csv(findings.weather_conditions(w.hourly_mobility_summary), sinks.write_csv)
+
+
+# Listed marts, with the place of each row in the listing.
+for _mart, (_column, _ascending) in views.MART_ORDER.items():
+    if _mart in ("geographic_performance", "fare_payment_analysis"):
+        QUERIES[f"listed_{_mart}"] = lambda w, sf_dir, _mart=_mart: views.numbered_listing(
+            getattr(w, _mart), _mart, {"geographic_performance": "location_id", "fare_payment_analysis": "payment_type"}[_mart]
+        )
+
+
+@query("payment_view_of_a_label")
+def _(w, sf_dir):
+    return views.payment_view(w.fare_payment_analysis, "Cash")
+
+
+@query("weather_evidence_of_a_category")
+def _(w, sf_dir):
+    return views.weather_evidence(views.weather_view(w.weather_transit_analysis, "Dry", date(2024, 4, 15), date(2024, 6, 15)))
+
+
 # --- linear models --------------------------------------------------------------------------
 
 _REDUCED = "model_4_reduced"

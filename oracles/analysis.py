@@ -92,6 +92,13 @@ ANALYSIS_SQL = {
              round_even(avg(precipitation), 3) as avg_precipitation from m_summary group by 1""",
         "avg_taxi_trips median_taxi_trips avg_precipitation",
     ),
+    "result_through_csv": compose(
+        """select case when precipitation > 0 then 'precipitation' when rain > 0 then 'rain' else 'dry' end
+             as weather_condition, count(*) as hours, round_even(avg(taxi_trip_count), 2) as avg_taxi_trips,
+             round_even(median(taxi_trip_count), 2) as median_taxi_trips,
+             round_even(avg(precipitation), 3) as avg_precipitation from m_summary group by 1""",
+        "avg_taxi_trips median_taxi_trips avg_precipitation",
+    ),
     "demand_distribution": compose(
         """select count(taxi_trip_count) as count, avg(taxi_trip_count) as mean, stddev_samp(taxi_trip_count) as std,
              min(taxi_trip_count)::double as min, quantile_cont(taxi_trip_count, 0.25) as p25,
@@ -184,6 +191,13 @@ ANALYSIS_SQL = {
                       where precipitation_category = 'Dry') - 1) * 100 as vs_dry_pct from v""",
         "category_avg_taxi_trips vs_dry_pct",
     ),
+    "weather_evidence_of_a_category": compose(
+        """select precipitation_category, count(*) as hours, any_value(category_avg_taxi_trips) as category_avg_taxi_trips,
+             0::double as vs_dry_pct
+           from m_weather_transit where precipitation_category = 'Dry' and calendar_date between '2024-04-15' and '2024-06-15'
+           group by 1""",
+        "category_avg_taxi_trips vs_dry_pct",
+    ),
     "map_values_revenue": compose(
         """select location_id, least(greatest(total_zone_revenue,
                (select quantile_cont(total_zone_revenue, 0.02) from m_geo where total_zone_revenue > 0)),

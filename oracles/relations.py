@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import compose
+from oracles.base import compose, relation
 
 _DEMAND = "total_revenue avg_total_amount total_fare_amount avg_fare_amount total_distance avg_distance avg_duration_seconds avg_passenger_count"
 _SUMMARY = "taxi_revenue taxi_distance"
@@ -180,7 +180,7 @@ select pickup_hour, hour_of_day, is_weekend, month_start, taxi_trip_count, subwa
 from m_summary
 """
 
-RELATION_SQL = {
+RELATION_SQL: dict[str, str] = {
     "stage_taxi_trips": compose(
         "select * from m_trips where tpep_pickup_datetime >= timestamp '2024-04-01' "
         "and tpep_pickup_datetime < timestamp '2024-07-01'",
@@ -280,3 +280,39 @@ RELATION_SQL = {
     ),
     "statistical_analysis": compose("select * from m_lagged", _SUMMARY),
 }
+
+# Hourly readings as the files hold them: made of the orders of each hour, with codes that do not parse.
+relation("m_readings", """
+select timestamp '2024-04-01' + to_hours(h) as timestamp_hour, (k % 400) / 10.0::double as temperature_2m,
+  (k % 101)::int as relative_humidity_2m, (k % 50) / 10.0::double as precipitation, (k % 30) / 10.0::double as rain,
+  0::double as snowfall, case when k % 17 <> 0 then (k % 90)::int end as weather_code,
+  (k % 300) / 10.0::double as wind_speed_10m, (n % 101)::int as cloud_cover
+from (select o_orderkey % 2184 as h, count(*) as n, sum(o_orderkey)::bigint as k from orders group by 1)
+""")
+_READ = "temperature_2m precipitation rain snowfall wind_speed_10m"
+
+RELATION_SQL |= {
+    "read_trip_months": compose(
+        "select * from m_trips where tpep_pickup_datetime >= timestamp '2024-04-15' "
+        "and tpep_pickup_datetime < timestamp '2024-06-02 12:00:00'",
+        "trip_distance fare_amount tip_amount total_amount",
+    ),
+    "read_zones_csv": compose("select * from m_zones"),
+    "read_weather_csv": compose("select * from m_readings", _READ),
+    "read_weather_payload": compose("select * from m_readings", _READ),
+    "read_subway_csv": compose(
+        """select timestamp_hour, case when total_ridership % 13 <> 0 then total_ridership end as total_ridership,
+             total_transfers from m_subway"""
+    ),
+    "listed_geographic_performance": compose(
+        "select location_id, activity_rank, row_number() over (order by activity_rank, location_id)::int as place from m_geo"
+    ),
+    "listed_fare_payment_analysis": compose(
+        """select payment_type, total_amount, row_number() over (order by total_amount desc, payment_type)::int as place
+           from m_pay_mart""",
+        "total_amount",
+    ),
+    "payment_view_of_a_label": RELATION_SQL["fare_payment_analysis"].replace(
+        "from m_pay_mart", "from m_pay_mart where payment_type_label = 'Cash'"
+    ),
+}
