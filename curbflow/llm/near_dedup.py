@@ -229,23 +229,33 @@ def straggler_links(posts: DataFrame, hubs: DataFrame, labels: DataFrame, sets:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, text_col: str, id_col: str) -> DataFrame:
-    """(node, n_shingles, signature, shingles) of the wanted classes, one row each, from the text of each one's first
-    document (id, null as well, and text_key)."""
+    """(node, n_shingles, signature, shingles) of the wanted classes, from the text of each one's first document (id, null
+    as well, and text_key). Rows that repeat it meet in a task, which gives the set once; should a skewed join split
+    them, a set may stand once per task, which costs time alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(settings)
+        shingler, given = Shingler(settings), set()
         for batch in batches:
+            first = []
+            for k, node in enumerate(batch.column(1).to_pylist()):
+                if node not in given:
+                    given.add(node)
+                    first.append(k)
+            batch = batch.take(pa.array(first, pa.int64()))
             found = [shingler.shingles(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"]
+                [*batch.columns[1:4], pa.array([s.tobytes() for s in found], pa.binary())],
+                names=["node", "n_shingles", "signature", "shingles"],
             )
 
-    first = wanted.select("node", F.col("first.id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    first = wanted.select(
+        "node", "n_shingles", "signature", F.col("first.id").alias("first_id"), F.col("first.text_key").alias("first_key")
+    )
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), text_key(text_col).alias("text_key"))
     rows = texts.join(first, (F.col("text_key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
-    sets = rows.select("text", "node").mapInArrow(run, "node long, shingles binary")
-    # rows that repeat the first document give its set again; it counts once
-    return sets.dropDuplicates(["node"]).join(wanted.select("node", "n_shingles", "signature"), "node")
+    return rows.select("text", "node", "n_shingles", "signature").mapInArrow(
+        run, "node long, n_shingles long, signature array<long>, shingles binary"
+    )
 
 
 def grouped(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
