@@ -252,7 +252,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, text_co
         "node", "n_shingles", "signature", F.col("first.id").alias("first_id"), F.col("first.text_key").alias("first_key")
     )
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), text_key(text_col).alias("text_key"))
-    rows = texts.join(first, (F.col("text_key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
+    # a merge join at every size: the wanted classes grow with the documents
+    rows = texts.join(first.hint("merge"), (F.col("text_key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
     return rows.select("text", "node", "n_shingles", "signature").mapInArrow(
         run, "node long, n_shingles long, signature array<long>, shingles binary"
     )
