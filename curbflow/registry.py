@@ -18,7 +18,7 @@ from curbflow.functions import clock
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
 from curbflow.session import scratch_dir
-from curbflow.sources import exchanges, fixtures, manifest, staging
+from curbflow.sources import drift, exchanges, fixtures, manifest, staging
 from curbflow.stats import design, gram, models
 from curbflow.warehouse import LAYERS, Warehouse, with_sources
 
@@ -491,6 +491,26 @@ def _(w, sf_dir):
     return exchanges.trips_from_months(w.spark, w.inputs.taxi_trips, Period(datetime(2024, 4, 15), datetime(2024, 6, 2, 12)))
 
 
+def _drifted(w: Warehouse) -> list[drift.Group]:
+    return drift.grouped_by_schema(w.spark, exchanges.drifted_months(w.spark, w.inputs.taxi_trips))
+
+
+@query("read_drifted_months")
+def _(w, sf_dir):
+    return drift.reconciled(w.spark, _drifted(w))
+
+
+@query("schema_drift_report")
+def _(w, sf_dir):
+    # the rows of each group beside its report tie the report to the files
+    groups = _drifted(w)
+    counts = [
+        w.spark.read.schema(g.schema).parquet(*g.files).agg(F.lit(k).alias("schema_group"), F.count(F.lit(1)).alias("row_count"))
+        for k, g in enumerate(groups)
+    ]
+    return drift.drift_report(w.spark, groups).join(reduce(DataFrame.unionByName, counts), "schema_group")
+
+
 @query("read_zones_csv")
 def _(w, sf_dir):
     return exchanges.zones_from_csv(w.spark, sf_dir)

@@ -88,6 +88,20 @@ def trips_from_months(spark: SparkSession, trips: DataFrame, period: Period) ->
     return staging.stage_taxi_trips(spark, f"{path}/trips-*", period)
 
 
+def drifted_months(spark: SparkSession, trips: DataFrame) -> list[str]:
+    """Monthly files whose schemas differ: whole fares in one, a missing surcharge in another, a payment code as text."""
+    path, month = _folder(spark, "drifted-months"), F.month("tpep_pickup_datetime")
+    kept = trips.select("tpep_pickup_datetime", "PULocationID", "payment_type", "fare_amount", "congestion_surcharge")
+    shapes = {
+        4: lambda d: d.withColumn("fare_amount", F.floor("fare_amount").cast("int")),
+        5: lambda d: d.drop("congestion_surcharge"),
+        6: lambda d: d.withColumns({"payment_type": F.col("payment_type").cast("string"), "PULocationID": F.col("PULocationID").cast("bigint")}),
+    }
+    for k, shape in shapes.items():
+        shape(kept.where(month == k)).write.parquet(f"{path}/{k}")
+    return [f"{path}/{k}" for k in shapes]
+
+
 def through_csv(df: DataFrame, write) -> DataFrame:
     """A result table written by the CSV sink and read back with its schema."""
     path = _folder(df.sparkSession, "result-csv")

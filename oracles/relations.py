@@ -291,7 +291,28 @@ from (select o_orderkey % 2184 as h, count(*) as n, sum(o_orderkey)::bigint as k
 """)
 _READ = "temperature_2m precipitation rain snowfall wind_speed_10m"
 
+relation("m_drifted", """
+select tpep_pickup_datetime, PULocationID::bigint as PULocationID, payment_type::varchar as payment_type,
+  case when month(tpep_pickup_datetime) = 4 then floor(fare_amount) else fare_amount end as fare_amount,
+  case when month(tpep_pickup_datetime) <> 5 then congestion_surcharge end as congestion_surcharge,
+  month(tpep_pickup_datetime) - 4 as schema_group
+from m_trips where tpep_pickup_datetime >= timestamp '2024-04-01' and tpep_pickup_datetime < timestamp '2024-07-01'
+""")
+
 RELATION_SQL |= {
+    "read_drifted_months": compose(
+        "select * exclude (schema_group) from m_drifted", "fare_amount congestion_surcharge"
+    ),
+    "schema_drift_report": compose("""
+select column_name, g.schema_group::int as schema_group, 1 as files, own_type, common_type,
+  case when own_type is null then 'missing' when common_type is null then 'conflict'
+       when own_type = common_type then 'same' else 'widened' end as status, row_count
+from (values ('tpep_pickup_datetime', ['timestamp_ntz', 'timestamp_ntz', 'timestamp_ntz'], 'timestamp_ntz'),
+             ('PULocationID', ['int', 'int', 'bigint'], 'bigint'), ('payment_type', ['bigint', 'bigint', 'string'], null),
+             ('fare_amount', ['int', 'double', 'double'], 'double'),
+             ('congestion_surcharge', ['double', null, 'double'], 'double')) as t(column_name, types, common_type),
+     (select schema_group, count(*) as row_count from m_drifted group by 1) g, lateral (select types[g.schema_group + 1] as own_type)
+"""),
     "read_trip_months": compose(
         "select * from m_trips where tpep_pickup_datetime >= timestamp '2024-04-15' "
         "and tpep_pickup_datetime < timestamp '2024-06-02 12:00:00'",
