@@ -15,6 +15,7 @@ from curbflow import pipeline as sinks
 from curbflow.analysis import dictionary, findings, profiling, validation, views
 from curbflow.config import Period
 from curbflow.functions import clock
+from curbflow.operators import ordering
 from curbflow.operators.duplicates import duplicate_groups
 from curbflow.plans import hourly, quality
 from curbflow.session import scratch_dir
@@ -458,6 +459,27 @@ def _(w, sf_dir):
     return staging.contract_report(w.inputs.subway_hourly, "timestamp_hour", ("total_ridership", "total_transfers"))
 
 
+@query("validate_order_of_orders")
+def validate_order_of_orders(w: Warehouse, sf_dir: str) -> DataFrame:
+    """Whether the delivered orders ascend by their key, and by their date; over all files of the table."""
+    orders = w.spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+    def totals(column: str) -> DataFrame:
+        return ordering.order_report(orders, column).agg(
+            F.lit(column).alias("column_name"), F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+            F.sum("descents").alias("descents"), F.bool_and("in_order").alias("in_order"),
+        )
+
+    return totals("o_orderkey").unionByName(totals("o_orderdate"))
+
+
+@query("out_of_order_orders")
+def out_of_order_orders(w: Warehouse, sf_dir: str) -> DataFrame:
+    """Orders dated before an order that was delivered earlier."""
+    orders = w.spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return ordering.out_of_order_rows(orders, "o_orderdate", ("o_orderkey",)).select("o_orderkey", "value", "latest_before")
+
+
 @query("validate_zone_contract")
 def _(w, sf_dir):
     return staging.contract_report(w.zones, "location_id", required=("zone", "service_zone"))

@@ -1,4 +1,4 @@
-"""Least squares and Newey-West inference from cross-products."""
+"""Least squares and Newey-West inference from triangular factors."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from curbflow.functions.measures import count_where, rows
 from curbflow.operators.series import numbered, with_halo
 from curbflow.stats import distributions as dist
 from curbflow.stats.design import CONST, Design, Spec, complete_rows, design_matrix, term_names
-from curbflow.stats.gram import gram, pseudo_inverse
+from curbflow.stats.gram import solved, triangle
 
 _FOUND = "model string, feature string, coefficient double, std_error double, statistic double, df double, quantile double"
 
@@ -105,21 +105,21 @@ class Fit:
 def ols_family(design: Design, models: dict[str, tuple[str, ...]]) -> dict[str, Fit]:
     """Several models over the same rows, each using a subset of the design's terms.
 
-    One cross-product pass serves all of them: coefficients, residual and total sums of squares
-    follow from the matrix of terms, target and a column of ones.
+    One pass serves all of them: the triangular factor of terms, target and a column of ones stands for the rows, as
+    orthogonal factors change neither coefficients nor lengths of residuals.
     """
     frame = design.frame.withColumn("_one", F.lit(1.0))
-    matrix = gram(frame, (*design.terms, "y", "_one"))
-    n, total, raw = int(matrix[-1, -1]), float(matrix[-2, -1]), float(matrix[-2, -2])
+    factor, n = triangle(frame, (*design.terms, "y", "_one"))
+    target, ones = factor[:, -2], factor[:, -1]
     fits = {}
     for name, terms in models.items():
-        at = [design.terms.index(t) for t in terms]
-        xtx, xty = matrix[np.ix_(at, at)], matrix[at, -2]
-        inverse, rank = pseudo_inverse(xtx)
+        x = factor[:, [design.terms.index(t) for t in terms]]
+        b, inverse, rank = solved(x, target)
         if n <= rank:
             raise ValueError(f"{name}: {n} rows cannot support {rank} terms")
-        b = inverse @ xty
-        ssr = float(raw - 2.0 * b @ xty + b @ xtx @ b)
+        rest = target - x @ b
+        ssr = float(rest @ rest)
+        spread = target - ones * (ones @ target / n) if CONST in terms else target
         fits[name] = Fit(
             name=name,
             terms=terms,
@@ -129,7 +129,7 @@ def ols_family(design: Design, models: dict[str, tuple[str, ...]]) -> dict[str,
             n=n,
             rank=rank,
             ssr=ssr,
-            sst=raw - total * total / n if CONST in terms else raw,
+            sst=float(spread @ spread),
         )
     return fits
 
@@ -226,16 +226,14 @@ def regression_metrics(predictions: DataFrame, by: tuple[str, ...] = ()) -> Data
 
 
 def vif(df: DataFrame, columns: tuple[str, ...], centred: bool) -> list[tuple[str, float]]:
-    """Variance inflation from one cross-product matrix.
+    """Variance inflation from one triangular factor of the columns.
 
     Without a constant the auxiliary R2 is uncentred; with one it is centred.
     """
     names = (CONST, *columns) if centred else columns
     frame = df.withColumn(CONST, F.lit(1.0)) if centred and CONST not in df.columns else df
-    matrix = gram(frame, names)
-    inverse, _ = pseudo_inverse(matrix)
-    spread = np.diag(matrix).copy()
-    if centred:
-        spread -= matrix[0] ** 2 / matrix[0, 0]
-    factors = spread * np.diag(inverse)
-    return [(n, float(f)) for n, f in zip(names, factors) if n != CONST]
+    factor, n = triangle(frame, names)
+    _, inverse, _ = solved(factor, factor[:, 0])
+    lengths = factor - np.outer(factor[:, 0], factor[:, 0] @ factor / n) if centred and n else factor
+    factors = (lengths * lengths).sum(axis=0) * np.diag(inverse)
+    return [(term, float(f)) for term, f in zip(names, factors) if term != CONST]

@@ -710,6 +710,16 @@ VALIDATION_SQL = {
              count(*) filter (total_ridership < 0) as negative_total_ridership,
              count(*) filter (total_transfers < 0) as negative_total_transfers from m_subway"""
     ),
+    "validate_order_of_orders": "\nunion all\n".join(
+        f"""select '{c}' as column_name, count(*) as row_count, count(*) - count(v) as null_count,
+             count(*) filter (v < before) as descents, count(*) filter (v < before) = 0 as in_order
+           from (select {c} as v, lag({c}) over (order by o_orderkey) as before from orders)"""
+        for c in ("o_orderkey", "o_orderdate")
+    ),
+    "out_of_order_orders": """select * from (
+             select o_orderkey, o_orderdate as value,
+               max(o_orderdate) over (order by o_orderkey rows between unbounded preceding and 1 preceding) as latest_before
+             from orders) where value < latest_before""",
     "validate_zone_contract": compose(
         """select count(*) as row_count, count(*) - count(distinct location_id) as duplicate_keys,
              count(*) filter (location_id is null) as null_keys, count(*) filter (zone is null) as null_zone,

@@ -68,12 +68,6 @@ def test_contracts(spark):
         staging.contract_report(good, "k", ("missing",))
 
 
-def test_out_of_order_rows(spark, tmp_path):
-    (tmp_path / "o.csv").write_text("ts\n" + "\n".join(f"2024-04-01 {h:02d}:00:00" for h in (0, 1, 3, 2, 4)))
-    df = spark.read.schema("ts timestamp_ntz").csv(str(tmp_path / "o.csv"), header=True)
-    assert [r.ts for r in staging.out_of_order_rows(df, "ts").collect()] == [datetime(2024, 4, 1, 2)]
-
-
 def test_manifest_and_fingerprint(spark, tmp_path):
     found = {r.file_name: r for r in manifest.source_manifest(spark, SMALL, ["nation", "orders"], "2024-04").collect()}
     with open(f"{SMALL}/nation.parquet", "rb") as f:
