@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return fallback
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Run-time settings of the session while the block runs; what was set before returns afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage through a parquet table, which survives executor loss and prunes columns."""
     spark = df.sparkSession

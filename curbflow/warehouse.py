@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from curbflow.config import DEFAULT, MobilityConfig
 from curbflow.operators.shaping import side_by_side
 from curbflow.plans import checks, geography, hourly, payments, quality, regression_base, temporal, trips, weather
+from curbflow.session import with_settings
 from curbflow.sources.staging import StagedInputs
 
 # Layers written together; each wave reads only the layers of earlier waves.
@@ -36,6 +37,9 @@ CONCURRENT_WRITES = 4
 
 # Rows of a file of a partitioned layer at most.
 ROWS_PER_FILE = 4_000_000
+# A task holds a file open for each month it meets, up to this many, and so writes wide rows without sorting them; Spark
+# sorts what is left of a task that meets more.
+WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
 # What each relation is computed from, where a written layer is asked for alone.
 SOURCES = {
     "trip_metrics": ("trips_clean",),
@@ -77,8 +81,8 @@ def with_sources(layers: tuple[str, ...]) -> tuple[str, ...]:
 
 
 def _write_layer(root: str, name: str, df: DataFrame) -> None:
-    """Each task writes its own rows, sorted by the partition column where there is one, in files of bounded size: the
-    rows cross no network. A partition value has as many files as tasks held it."""
+    """Each task writes its own rows, unsorted, in files of bounded size: the rows cross no network. A partition value has
+    as many files as tasks held it, and more where it exceeds a file."""
     writer = df.write.mode("overwrite")
     if name in PARTITIONED_BY:
         writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(PARTITIONED_BY[name])
@@ -226,7 +230,7 @@ class Warehouse:
             frames = {name: getattr(built, name) for name in wave if name in layers}
             observations: dict[str, Observation] = {}
             watched = {name: built._observing(name, observations) for name in frames}
-            with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+            with with_settings(self.spark, WRITE_SETTINGS), ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
                 list(pool.map(lambda item: _write_layer(root, *item), watched.items()))
             for name, df in frames.items():
                 built._use_table(name, f"{root}/{name}", df)
