@@ -13,7 +13,8 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse, islice
+from itertools import filterfalse, islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,12 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^%s\p{L}\p{N}]+|[%s]+(?![^%s])|[%s]+" % ((SPACE,) * 4)
 )
-#: Single spaces between other characters: words never reach over them, so chunks can be cut there.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-ODD_SPACE = re.compile(r" \s|\s |^ | $")
+#: Single spaces and line ends between other characters: words never reach over them, so chunks can be cut there. A
+#: space goes with the cut, a line end begins the chunk after it.
+CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+TWO_SPACES = re.compile(r"\s\s")
 #: Marks after a word: a run of them is a word of its own.
-MARKS = ".,;:!?"
+MARKS = ".,;:!?%$*#&|<>"
 #: Chunks of a generation that a task remembers, and remembered pairs of neighbours. A full generation becomes the old
 #: one; what is used again moves over from there before it is dropped.
 REMEMBERED = 350_000
@@ -142,18 +144,18 @@ class Vocabulary:
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
         """The tokens of each word, by one depth-first walk over the trie of all of them."""
         out: dict[bytes, tuple[int, ...]] = {}
-        last: list[int] = [-1]  # last[i]: last token of the first i bytes of the path
-        size: list[int] = [0]
-        before = b""
+        ordered, before = sorted(words), b""
+        longest = max(map(len, ordered), default=0)
+        last = [-1] * (longest + 1)  # last[i]: last token of the first i bytes of the path
+        size = [0] * (longest + 1)
         id_of, known, ends_in, whole = self.id_of.get, self._follows.get, self._endings.get, self._whole.get
-        for word in sorted(words):
+        for word in ordered:
             shared, least = 0, min(len(word), len(before))
             if word[:least] == before[:least]:
                 shared = least
             else:
                 while word[shared] == before[shared]:
                     shared += 1
-            del last[shared + 1 :], size[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 tail = word[end - TAIL : end] if end > TAIL else word[:end]
                 for n, token in ends_in(tail) or self.endings(tail):
@@ -165,8 +167,7 @@ class Vocabulary:
                     elif (fits := known(last[end - n] << 32 | token)) is None:
                         fits = self.follows(last[end - n], token)
                     if fits:
-                        last.append(token)
-                        size.append(n)
+                        last[end], size[end] = token, n
                         break
                 else:
                     raise ValueError(f"the vocabulary lacks byte {word[end - 1]}")
@@ -186,13 +187,13 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes batches of whole texts; one per task."""
+    """Encodes batches of whole texts. What it remembers are the ids of a chunk as the bytes of 32-bit integers."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.first: dict[str, tuple[int, ...]] = {}
-        self.spaced: dict[str, tuple[int, ...]] = {}  # chunks after a space, without it
-        self.old: dict[str, tuple[int, ...]] = {}  # the generation before, of those after a space
+        self.first: dict[str, bytes] = {}  # chunks at the start of a text or a line
+        self.spaced: dict[str, bytes] = {}  # chunks after a space, without it, and after a line end, with it
+        self.old: dict[str, bytes] = {}  # the generation before, of `spaced`
 
     def pieces(self, text: str) -> list[str | int]:
         """Texts between added tokens, and the ids of those."""
@@ -202,24 +203,32 @@ class Encoder:
 
     @staticmethod
     def chunks(piece: str) -> list[str]:
-        return CUT.split(piece) if ODD_SPACE.search(piece) else piece.split(" ")
-
-    def learn(self, first: set[str], spaced: set[str]) -> None:
-        """Encode the chunks that are not remembered, all words of them in one trie."""
-        for known, lead, chunks in ((self.first, "", first), (self.spaced, " ", spaced)):
-            words_of: dict[str, list[bytes]] = {}
-            for c in chunks:
-                stem = c.rstrip(MARKS)
-                if not stem.isalpha():
-                    words_of[c] = [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(lead + c)]
-                elif stem not in words_of and stem not in known:
-                    words_of[stem] = [(lead + stem).encode()]
-            ids = self.vocab.encode_words({*chain.from_iterable(words_of.values()), *(c[len(c.rstrip(MARKS)) :].encode() for c in chunks)})
-            for chunk, words in words_of.items():
-                known[chunk] = ids[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, words)))
-            for c in chunks - known.keys():  # a known word and the marks after it, which are a word of their own
-                stem = c.rstrip(MARKS)
-                known[c] = known[stem] + ids[c[len(stem) :].encode()]
+        if TWO_SPACES.search(piece) or piece[:1].isspace() or piece[-1:].isspace():
+            return CUT.split(piece)
+        return piece.replace("\n", " \n").split(" ")
+
+    def learn(self, known: dict[str, bytes], lead: str, chunks: Iterable[str]) -> None:
+        """Encode chunks that are not remembered, all words of them in one trie."""
+        words_of: dict[str, list[bytes]] = {}
+        marked: list[tuple[str, str, bytes]] = []
+        marks: set[bytes] = set()
+        for c in chunks:
+            stem = c.rstrip(MARKS)
+            if not stem.isalpha():
+                words_of[c] = [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(lead + c)]
+                continue
+            if stem not in known and stem not in words_of:
+                words_of[stem] = [(lead + stem).encode()]
+            if len(stem) < len(c):  # a word and the marks after it, which are a word of their own
+                after = c[len(stem) :].encode()
+                marked.append((c, stem, after))
+                marks.add(after)
+        ids = self.vocab.encode_words(marks.union(*words_of.values()))
+        raw = {word: pack(f"={len(found)}i", *found) for word, found in ids.items()}
+        for chunk, words in words_of.items():
+            known[chunk] = raw[words[0]] if len(words) == 1 else b"".join(map(raw.__getitem__, words))
+        for chunk, stem, after in marked:
+            known[chunk] = known[stem] + raw[after]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.first) + len(self.spaced) > REMEMBERED:
@@ -234,28 +243,39 @@ class Encoder:
                     tails.update(filterfalse(self.spaced.__contains__, islice(p, 1, None)))
         again = tails & self.old.keys()
         self.spaced.update((c, self.old[c]) for c in again)
-        self.learn(heads - self.first.keys(), tails - again)
+        tails -= again
+        lines = {c for c in tails if c[:1] == "\n"}
+        heads.update(c[1:] for c in lines)
+        self.learn(self.first, "", [c for c in {*heads, "\n"} if c not in self.first])
+        self.spaced.update((c, self.first["\n"] + self.first[c[1:]]) for c in lines)
+        self.learn(self.spaced, " ", tails - lines)
         spaced = self.spaced.__getitem__
         out = []
         for parts in cut:
-            found: list[Iterable[int]] = []
+            found: list[bytes] = []
             for p in parts:
                 if isinstance(p, int):
-                    found.append((p,))
+                    found.append(pack("=i", p))
                 else:
                     found.append(self.first[p[0]])
-                    found.append(chain.from_iterable(map(spaced, islice(p, 1, None))))
-            out.append(np.fromiter(chain.from_iterable(found), np.int32))
+                    found += map(spaced, islice(p, 1, None))
+            out.append(np.frombuffer(b"".join(found), np.int32))
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One per Python worker: later tasks of a worker find the chunks of earlier ones, in two bounded generations."""
+    return Encoder(vocabulary(path))
+
+
 #: Characters of texts encoded at a time: bounds the words held, whatever the rows of an Arrow batch hold.
 GROUP = 2_000_000
 
 
 def _encoded_groups(batches: Iterator[pa.RecordBatch], path: str, passed: int) -> Iterator[tuple[list[pa.Array], list[np.ndarray]]]:
     """The first `passed` columns and the token ids of the text column after them, group by group."""
-    texts_to_ids = Encoder(vocabulary(path)).encode  # its memory ends with the task
+    texts_to_ids = encoder(path).encode
     for batch in batches:
         start, chars, texts = 0, 0, []
         for k, value in enumerate(batch.column(passed)):

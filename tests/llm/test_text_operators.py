@@ -42,6 +42,22 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_around_line_ends_are_encoded_once(library, monkeypatch):
+    asked: list[bytes] = []
+    encode_words = bpe.Vocabulary.encode_words
+    monkeypatch.setattr(bpe.Vocabulary, "encode_words", lambda self, words: encode_words(self, asked.__iadd__(words) and words))
+    encode = bpe.Encoder(bpe.Vocabulary(PATH)).encode
+    texts = ["Some words.\nHere,%%%", "Some end.\nHere", "Here words.\nSome end.\nHere,%%%", "\nHere\n\nSome end\r\nHere\n"]
+    for text in texts[:3]:
+        assert encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert [w for w in asked if w.strip().isalpha() and asked.count(w) > 1] == []
+    assert encode([texts[3]])[0].tolist() == library.encode(texts[3], add_special_tokens=False).ids
+
+
+def test_later_tasks_of_a_worker_find_the_chunks_of_earlier_ones():
+    assert bpe.encoder(PATH) is bpe.encoder(PATH)
+
+
 def test_decoding_broken_bytes(library):
     rng, table = random.Random(2), bpe.vocabulary(PATH).table
     for _ in range(500):
