@@ -28,6 +28,12 @@ def mean_where(condition: Column, value: Column) -> Column:
     return F.avg(F.when(condition, value))
 
 
+def mean_of_known(condition: Column, value: Column) -> Column:
+    """Mean over matching rows none of which lacks the value. Unlike `mean_where` it needs no buffers of its own beside
+    `sum_where` and `count_where` of the same arguments."""
+    return ratio(sum_where(condition, value), count_where(condition))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as double, NULL for a zero or missing denominator."""
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbflow.config import Period
 from curbflow.functions import clock
-from curbflow.functions.measures import count_where, mean_where, rows, sum_where
+from curbflow.functions.measures import count_where, mean_of_known, ratio, rows, sum_where
 from curbflow.sources.staging import WEATHER_TYPES
 
 CALENDAR = ("calendar_date", "hour_of_day", "day_of_week", "is_weekend", "week_start", "month_start")
@@ -25,22 +25,27 @@ ISSUE_COUNTS = {
 
 
 def hourly_taxi_demand(clean: DataFrame) -> DataFrame:
-    """One hash aggregation per pickup hour and zone pair."""
+    """One hash aggregation per pickup hour and zone pair.
+
+    Most groups hold few trips, so a task keeps nearly as many groups as it reads trips: means share the sums and counts
+    beside them. A trip valid for a metric has the metric's value (see `plans.trips.DISQUALIFYING`); its fare may be missing.
+    """
     valid = {m: F.col(f"is_{m}_valid") for m in ("duration", "distance", "revenue", "passenger")}
     total, fare = F.col("total_amount"), F.col("fare_amount")
     miles, seconds = F.col("trip_distance"), F.col("duration_seconds")
+    fares, known_fares = sum_where(valid["revenue"], fare), F.count(F.when(valid["revenue"], fare))
     return clean.groupBy("pickup_hour", "pickup_location_id", "dropoff_location_id").agg(
         rows().alias("trip_count"),
         *(count_where(flag).alias(f"{m}_valid_trip_count") for m, flag in valid.items()),
         sum_where(valid["revenue"], total).alias("total_revenue"),
-        mean_where(valid["revenue"], total).alias("avg_total_amount"),
-        sum_where(valid["revenue"], fare).alias("total_fare_amount"),
-        mean_where(valid["revenue"], fare).alias("avg_fare_amount"),
+        mean_of_known(valid["revenue"], total).alias("avg_total_amount"),
+        fares.alias("total_fare_amount"),
+        ratio(fares, known_fares).alias("avg_fare_amount"),
         sum_where(valid["distance"], miles).alias("total_distance"),
-        mean_where(valid["distance"], miles).alias("avg_distance"),
+        mean_of_known(valid["distance"], miles).alias("avg_distance"),
         sum_where(valid["duration"], seconds).alias("total_duration_seconds"),
-        mean_where(valid["duration"], seconds).alias("avg_duration_seconds"),
-        mean_where(valid["passenger"], F.col("passenger_count")).alias("avg_passenger_count"),
+        mean_of_known(valid["duration"], seconds).alias("avg_duration_seconds"),
+        mean_of_known(valid["passenger"], F.col("passenger_count")).alias("avg_passenger_count"),
         *(count_where(F.col(flag)).alias(name) for name, flag in ISSUE_COUNTS.items()),
     )
 

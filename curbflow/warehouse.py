@@ -35,11 +35,12 @@ PARTITIONED_BY = {"trips_clean": "pickup_month", "hourly_mobility": "month_start
 CONCURRENT_WRITES = 4
 
 
-# Rows of a file of a partitioned layer at most.
-ROWS_PER_FILE = 4_000_000
+# Rows of a file of a partitioned layer at most; it bounds a row group, which is read by one task.
+ROWS_PER_FILE = 1_000_000
 # A task holds a file open for each month it meets, up to this many, and so writes wide rows without sorting them; Spark
-# sorts what is left of a task that meets more.
-WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
+# sorts what is left of a task that meets more. A task reads this much at most: where few trips share an hour and a zone
+# pair, it holds a wide group for nearly every trip it reads.
+WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "16", "spark.sql.files.maxPartitionBytes": "32m"}
 # What each relation is computed from, where a written layer is asked for alone.
 SOURCES = {
     "trip_metrics": ("trips_clean",),
