@@ -53,10 +53,11 @@ def _trip_quality() -> dict[str, Column]:
 
 
 def data_quality_metrics(
-    staged_trips: DataFrame, clean: DataFrame, metrics: DataFrame, zones: DataFrame,
+    staging_taxi_rows: DataFrame, clean: DataFrame, metrics: DataFrame, zones: DataFrame,
     spine: DataFrame, summary: DataFrame, zone_perf: DataFrame, od: DataFrame,
 ) -> DataFrame:
-    """One row. Every source is aggregated once; the one-row results are folded together."""
+    """One row. The staged trips come as their row count, which a build has observed; every other source is aggregated
+    once. The one-row results are folded together."""
     trips = metrics.agg(*(agg.alias(name) for name, agg in _trip_quality().items()))
     hours = summary.agg(
         rows().alias("hourly_rows"),
@@ -80,7 +81,7 @@ def data_quality_metrics(
         count_where(F.col("trips") <= 0).alias("invalid_od_rows"),
     )
     combined = side_by_side(
-        row_count(staged_trips, "staging_taxi_rows"),
+        staging_taxi_rows,
         row_count(clean, "clean_taxi_rows"),
         row_count(metrics, "trip_metric_rows"),
         row_count(zones, "taxi_zone_rows"),

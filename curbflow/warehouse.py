@@ -7,6 +7,7 @@ from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from curbflow.config import DEFAULT, MobilityConfig
 from curbflow.operators.shaping import side_by_side
@@ -155,8 +156,8 @@ class Warehouse:
     @cached_property
     def data_quality_metrics(self) -> DataFrame:
         return quality.data_quality_metrics(
-            self.inputs.taxi_trips, self.trips_clean, self.trip_metrics, self.zones, self.hourly_spine,
-            self.hourly_mobility_summary, self.zone_performance, self.od_flow,
+            self.measured("staged").select(F.col("staged").alias("staging_taxi_rows")), self.trips_clean,
+            self.trip_metrics, self.zones, self.hourly_spine, self.hourly_mobility_summary, self.zone_performance, self.od_flow,
         )
 
     @cached_property

@@ -51,3 +51,14 @@ def test_trips_are_written_without_an_exchange(spark, make_warehouse, make_trips
     built = make_warehouse(spark.read.parquet(str(tmp_path / "staged")))
     plan = built._observing("trips_clean", {})._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_quality_metrics_of_a_build_take_the_observed_staged_rows(small_built):
+    raw = small_built.with_staged_trips(small_built.inputs.taxi_trips)
+    built = small_built.with_staged_trips(small_built.inputs.taxi_trips)
+    for name in small_built.written - {"data_quality_metrics"}:
+        built.__dict__[name] = getattr(small_built, name)
+    built.observed = dict(small_built.observed)
+    files = " ".join(built.data_quality_metrics.inputFiles())
+    assert "lineitem" not in files and "orders" not in files
+    assert built.data_quality_metrics.first().staging_taxi_rows == raw.data_quality_metrics.first().staging_taxi_rows == 6000
